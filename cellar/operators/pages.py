@@ -49,7 +49,9 @@ def page_cards(pages: DataFrame) -> DataFrame:
 def page_links(pages: DataFrame, exclude: str | None = None) -> DataFrame:
     """(page_id, pos, link) for every link of a page in page order; links
     matching ``exclude`` are skipped (positions stay those of the page)."""
-    links = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), F.lit(1))).alias("pos", "link"))
+    arr = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), F.lit(1))
+    # the _outer form keeps the optimizer from re-running the extraction in an inferred filter
+    links = pages.select("page_id", F.posexplode_outer(arr).alias("pos", "link")).where(F.col("link").isNotNull())
     links = links.withColumn("pos", F.col("pos").cast("long"))
     if exclude:
         links = links.where(~F.col("link").rlike(exclude))

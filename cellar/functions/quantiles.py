@@ -11,6 +11,8 @@ sketch only decides where the ranges are cut.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +23,14 @@ def exact_quantiles(
     qs: list[float],
     by: list[str] | None = None,
     names: list[str] | None = None,
-    buckets: int = 256,
+    buckets: int | None = None,
+    rows_per_range: int = 2_000_000,
 ) -> DataFrame:
     """One row per group with one column per quantile in ``qs``.
 
-    NULL values are ignored; a group with no value gets no row.
+    NULL values are ignored; a group with no value gets no row. ``buckets``
+    (ranges per group) defaults to rows / ``rows_per_range`` (at most 1024),
+    from one count of the input.
     """
     by = list(by or [])
     names = names or [f"q{int(round(q * 100))}" for q in qs]
@@ -34,12 +39,17 @@ def exact_quantiles(
     gkey = by if by else [F.lit(0).alias("_g")]
     gcols = by if by else ["_g"]
 
+    if buckets is None:
+        buckets = int(min(1024, max(1, math.ceil(base.count() / rows_per_range))))
     vc = base.groupBy(*gkey, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = base.groupBy(*gkey).agg(F.percentile_approx("_v", fracs, 10 * buckets).alias("_b"))
-    vcb = vc.join(bounds, gcols).select(
-        *gcols, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_k")
-    )
+    if buckets > 1:
+        fracs = [i / buckets for i in range(1, buckets)]
+        bounds = base.groupBy(*gkey).agg(F.percentile_approx("_v", fracs, max(1000, 4 * buckets)).alias("_b"))
+        vcb = vc.join(bounds, gcols).select(
+            *gcols, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_k")
+        )
+    else:
+        vcb = vc.select(*gcols, "_v", "_c", F.lit(0).alias("_k"))
     # rank offset of every range: a prefix sum over (groups x buckets) rows
     totals = vcb.groupBy(*gcols, "_k").agg(F.sum("_c").alias("_bc"))
     wg = Window.partitionBy(*gcols).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellar.functions.exprs import rnd
 from cellar.functions.quantiles import exact_quantiles
+from cellar.session import materialize
 
 
 def count_per_key(df: DataFrame, key: str, name: str = "n") -> DataFrame:
@@ -168,7 +169,7 @@ def dense_ids(df: DataFrame, col: str, name: str = "id") -> DataFrame:
         F.spark_partition_id().alias("_p"),
         F.monotonically_increasing_id().alias("_m"),
     )
-    part = part.select(col, "_p", (F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)).alias("_i")).checkpoint()
+    part = materialize(part.select(col, "_p", (F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)).alias("_i")), "dense-ids")
     sizes = part.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select("_p", F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_o"))

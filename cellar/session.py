@@ -58,3 +58,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "cellar-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Used where one intermediate feeds several jobs: it is computed once (an RDD
+    checkpoint would compute it a second time to write it), the lineage is cut,
+    a lost executor cannot lose it, and later plans see its real size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -257,3 +257,23 @@ def test_rounding_half_away_from_zero(spark, v, expected):
 
     got = spark.range(1).select(rnd(F.lit(v)).alias("r")).first()["r"]
     assert math.isclose(got, round(v * 1e6) / 1e6) or math.isclose(got, expected)
+
+
+def test_recommender_api(spark):
+    from cellar.recommenders import CollabRecommender, ContentRecommender
+    from cellar.sources.tables import Tables, train_test
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    items = t.items().join(t.producers(), "producer_id", "left")
+    cr = ContentRecommender(t.reviews(), items).fit()
+    one = items.groupBy("name", "producer_name").count().where("count = 1").join(
+        cr.similarities.select(F.col("item_id").alias("iid")).distinct(), how="inner",
+        on=F.lit(True)).first()
+    row = items.where((F.col("name") == one["name"]) & (F.col("producer_name") == one["producer_name"])).first()
+    recs = cr.recommend(row["name"], row["producer_name"], 3)
+    assert recs.count() <= 3
+    train, test = train_test(t.ratings())
+    col = CollabRecommender(train).fit()
+    assert col.top_n(test, 2).groupBy("uid").count().where("count > 2").count() == 0
+    uid, extended = col.add_user({1: 5.0, 2: 1.0})
+    assert extended.where(F.col("uid") == uid).count() == 2

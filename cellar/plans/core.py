@@ -81,10 +81,10 @@ def category_means_sorted(t: Tables):
 
 
 @query("null_counts", sql("""
-SELECT 'item_id' AS "column", count_if(item_id IS NULL) AS n_null FROM doc_reviews
-UNION ALL SELECT 'ord', count_if(ord IS NULL) FROM doc_reviews
-UNION ALL SELECT 'text', count_if(text IS NULL) FROM doc_reviews
-UNION ALL SELECT 'score', count_if(score IS NULL) FROM doc_reviews
+SELECT 'item_id' AS "column", CAST(count_if(item_id IS NULL) AS BIGINT) AS n_null FROM doc_reviews
+UNION ALL SELECT 'ord', CAST(count_if(ord IS NULL) AS BIGINT) FROM doc_reviews
+UNION ALL SELECT 'text', CAST(count_if(text IS NULL) AS BIGINT) FROM doc_reviews
+UNION ALL SELECT 'score', CAST(count_if(score IS NULL) AS BIGINT) FROM doc_reviews
 """))
 def null_counts(t: Tables):
     """A9 over the long reviews, whose scores come from a partial left join."""

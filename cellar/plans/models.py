@@ -135,9 +135,9 @@ def rmse_mae(t: Tables):
 
 _PR = _BASE + f"""
 , r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY est DESC, item_id) AS rank FROM pred),
-g AS (SELECT uid, count_if(true_r >= {PR_THRESHOLD}) AS n_rel,
-             count_if(rank <= {PR_K} AND est >= {PR_THRESHOLD}) AS n_rec_k,
-             count_if(true_r >= {PR_THRESHOLD} AND rank <= {PR_K} AND est >= {PR_THRESHOLD}) AS n_rel_rec_k
+g AS (SELECT uid, CAST(count_if(true_r >= {PR_THRESHOLD}) AS BIGINT) AS n_rel,
+             CAST(count_if(rank <= {PR_K} AND est >= {PR_THRESHOLD}) AS BIGINT) AS n_rec_k,
+             CAST(count_if(true_r >= {PR_THRESHOLD} AND rank <= {PR_K} AND est >= {PR_THRESHOLD}) AS BIGINT) AS n_rel_rec_k
       FROM r GROUP BY uid),
 pu AS (SELECT uid, n_rel, n_rec_k, n_rel_rec_k,
               round(CASE WHEN n_rec_k <> 0 THEN n_rel_rec_k / n_rec_k ELSE 0 END, 6) AS precision,

@@ -277,3 +277,28 @@ def test_recommender_api(spark):
     assert col.top_n(test, 2).groupBy("uid").count().where("count > 2").count() == 0
     uid, extended = col.add_user({1: 5.0, 2: 1.0})
     assert extended.where(F.col("uid") == uid).count() == 2
+
+
+@pytest.mark.parametrize("rows_per_group", [10**9, 40])  # trimmed in groups / chunked, summed after
+def test_pearson_topk_matches_brute_force(spark, rows_per_group, monkeypatch):
+    rng = np.random.default_rng(13)
+    data = [(int(i), int(u), float(rng.integers(1, 6))) for i in range(25) for u in range(20) if rng.random() < 0.5]
+    df = spark.createDataFrame(data, "item_id long, uid long, score double")
+    orig = similarity.pair_sums
+    monkeypatch.setattr(similarity, "pair_sums", lambda *a, **k: orig(*a, **{**k, "rows_per_group": rows_per_group, "block_size": 6}))
+    got = similarity.pearson_topk(df, "item_id", "uid", "score", k=3, min_overlap=3).collect()
+    by = {}
+    for i, u, s in data:
+        by.setdefault(i, {})[u] = s
+    for a in by:
+        cand = []
+        for b in by:
+            common = sorted(set(by[a]) & set(by[b]))
+            if a == b or len(common) < 3:
+                continue
+            x, y = [by[a][u] for u in common], [by[b][u] for u in common]
+            if np.std(x) == 0 or np.std(y) == 0:
+                continue
+            cand.append((-round(float(np.corrcoef(x, y)[0, 1]), 6), b))
+        mine = sorted((-r["r"], r["b"]) for r in got if r["a"] == a)
+        assert [b for _, b in mine] == [b for _, b in sorted(cand)[:3]]

@@ -31,29 +31,38 @@ def ordered_concat(text: str, order: list[str], sep: str = ",", name: str = "tex
     return F.expr(f"listagg({value}, '{sep}') WITHIN GROUP (ORDER BY {ob})").alias(name)
 
 
-def text_concat(reviews: DataFrame, key: str = "item_id", text: str = "text", order: list[str] | None = None, sep: str = ","):
-    return reviews.groupBy(key).agg(ordered_concat(text, order or ["ord"], sep))
+# Rows per text chunk: a key's texts are joined in chunks of consecutive order
+# values, part = floor(ord / CHUNK_ROWS), so no single value (or task) has to
+# hold all the texts of a key that has a large share of all rows.
+CHUNK_ROWS = 1000
 
 
-def text_and_mean(reviews: DataFrame, key: str = "item_id", order: list[str] | None = None) -> DataFrame:
-    """J2 + A6 + A8 in one aggregation.
+def _part(order_col: str, chunk: int):
+    return F.floor(F.col(order_col) / F.lit(chunk)).cast("long").alias("part")
 
-    The mean covers every row of the item; the text covers the rows whose text
-    is not the placeholder; an item with only placeholder text has no row
-    (inner-join semantics of the two separate results in the source).
+
+def text_concat(reviews: DataFrame, key: str = "item_id", text: str = "text", order: list[str] | None = None, sep: str = ",", chunk: int = CHUNK_ROWS):
+    """(key, part, text): the texts of a key joined by ``sep`` in order.
+
+    The whole text of a key is its parts joined in ``part`` order; a key with
+    fewer than ``chunk`` consecutive order values has one part.
+    """
+    order = order or ["ord"]
+    return reviews.groupBy(key, _part(order[0], chunk)).agg(ordered_concat(text, order, sep))
+
+
+def text_and_mean(reviews: DataFrame, key: str = "item_id", order: list[str] | None = None, chunk: int = CHUNK_ROWS) -> DataFrame:
+    """J2 + A6 + A8 (D4): (key, score, part, text).
+
+    The mean covers every row of the key; the text covers the rows whose text
+    is not the placeholder; a key with only placeholder text has no row (inner
+    join of the two results, as in the source).
     """
+    order = order or ["ord"]
     real = F.col("text").isNotNull() & (F.col("text") != F.lit(PLACEHOLDER_TEXT))
-    return (
-        reviews.withColumn("_real", real)
-        .groupBy(key)
-        .agg(
-            rnd(F.avg("score")).alias("score"),
-            ordered_concat("text", order or ["ord"], when="_real"),
-            F.count_if("_real").alias("_n_text"),
-        )
-        .where(F.col("_n_text") > 0)
-        .drop("_n_text")
-    )
+    means = reviews.groupBy(key).agg(rnd(F.avg("score")).alias("score"))
+    texts = reviews.where(real).groupBy(key, _part(order[0], chunk)).agg(ordered_concat("text", order))
+    return means.join(texts, key)
 
 
 def enrich_items(item_scores: DataFrame, items: DataFrame, producers: DataFrame) -> DataFrame:

@@ -296,21 +296,23 @@ def drop_placeholder_text(t: Tables):
 @query("item_text_and_mean", sql(f"""
 , d AS (SELECT item_id, ord, text, score FROM doc_reviews UNION ALL {_DIRTY_DOCS_SQL}),
 m AS (SELECT item_id, round(avg(score), 6) AS score FROM d GROUP BY item_id),
-x AS (SELECT item_id, string_agg(text, ',' ORDER BY ord, text) AS text FROM d
-      WHERE text <> chr(160) || chr(160) GROUP BY item_id)
-SELECT m.item_id, m.score, md5(x.text) AS text_md5, length(x.text) AS text_len FROM m JOIN x ON x.item_id = m.item_id
+x AS (SELECT item_id, CAST(floor(ord / 1000) AS BIGINT) AS part, string_agg(text, ',' ORDER BY ord, text) AS text
+      FROM d WHERE text <> chr(160) || chr(160) GROUP BY item_id, part)
+SELECT m.item_id, m.score, x.part, md5(x.text) AS text_md5, CAST(length(x.text) AS BIGINT) AS text_len
+FROM m JOIN x ON x.item_id = m.item_id
 """))
 def item_text_and_mean(t: Tables):
-    """Mean over all rows, text over real texts, inner semantics."""
+    """Mean over all rows, text over real texts in chunks of 1000 docs, inner semantics."""
     r = enrich.text_and_mean(_dirty_docs(t))
-    return r.select("item_id", "score", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_len"))
+    return r.select("item_id", "score", "part", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_len"))
 
 
 @query("item_text_concat", sql("""
-SELECT item_id, string_agg(text, ',' ORDER BY ord, text) AS text FROM reviews WHERE text IS NOT NULL GROUP BY item_id
+SELECT item_id, CAST(floor(ord / 1000) AS BIGINT) AS part, string_agg(text, ',' ORDER BY ord, text) AS text
+FROM reviews WHERE text IS NOT NULL GROUP BY item_id, part
 """))
 def item_text_concat(t: Tables):
-    """The review texts of an item joined by ',' in turn order."""
+    """The review texts of an item joined by ',' in turn order (chunks of 1000 turns)."""
     return enrich.text_concat(t.reviews())
 
 

@@ -53,6 +53,17 @@ def test_placeholder_text_and_inner_semantics(spark):
     assert out["mixed"] == (2.0, "b,a")  # mean over all rows, text in ord order
 
 
+def test_text_concat_chunks_a_hot_key(spark):
+    from cellar.operators import enrich
+
+    df = spark.createDataFrame([("hot", i, f"t{i}") for i in range(25)] + [("cold", 0, "x")], "item_id string, ord long, text string")
+    parts = rows(enrich.text_concat(df, chunk=10), "item_id", "part", "text")
+    hot = [p for p in parts if p[0] == "hot"]
+    assert [p[1] for p in hot] == [0, 1, 2]
+    assert ",".join(p[2] for p in hot) == ",".join(f"t{i}" for i in range(25))  # whole text, in order
+    assert [p for p in parts if p[0] == "cold"] == [("cold", 0, "x")]
+
+
 def test_tie_at_n_broken_by_key(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (2,), (3,)], "item_id long")
     top = rows(stats.top_n_by_count(df, "item_id", 1, "n"), "item_id", "n")

@@ -116,12 +116,15 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
 
 
 def avg_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Average and exact median per key of several sub-scores; empty -> NULL."""
+    """Average and exact median per key of several sub-scores; empty -> NULL.
+
+    The sub-scores are unpivoted once so one quantile pass serves all of them.
+    """
     out = df.groupBy(key).agg(*[rnd(F.avg(c)).alias(f"{c}_avg") for c in cols])
-    for c in cols:
-        med = exact_quantiles(df, c, [0.5], by=[key], names=[f"{c}_med"])
-        out = out.join(med.select(key, rnd(f"{c}_med").alias(f"{c}_med")), key, "left")
-    return out
+    long = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(key, cols, "_col", "_val")
+    med = exact_quantiles(long, "_val", [0.5], by=[key, "_col"], names=["_med"])
+    wide = med.groupBy(key).agg(*[F.max(F.when(F.col("_col") == c, rnd("_med"))).alias(f"{c}_med") for c in cols])
+    return out.join(wide, key, "left")
 
 
 def global_stats(df: DataFrame, value: str = "score") -> DataFrame:

@@ -83,6 +83,39 @@ def parse_fraction_scores(t: Tables):
     return s.select("*", pages.parse_fraction(F.col("score_text")).alias("score"))
 
 
+_SUB_TEXTS = """
+, s AS (SELECT l_partkey AS item_id,
+               CASE WHEN l_linenumber = 7 THEN 'x/50' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '/50' END AS qty_text,
+               CASE WHEN l_linenumber = 6 THEN '' ELSE CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) || '/10' END AS tax_text
+        FROM lineitem),
+p AS (SELECT item_id, TRY_CAST(regexp_replace(qty_text, '/(5|10|20|50)$', '') AS INTEGER) AS qty,
+             TRY_CAST(regexp_replace(tax_text, '/(5|10|20|50)$', '') AS INTEGER) AS tax FROM s)
+"""
+
+
+@query("page_subscores", sql(_SUB_TEXTS + """
+SELECT item_id, round(avg(qty), 6) AS qty_avg, round(median(CAST(qty AS DOUBLE)), 6) AS qty_med, count(qty) AS qty_n,
+       round(avg(tax), 6) AS tax_avg, round(median(CAST(tax AS DOUBLE)), 6) AS tax_med, count(tax) AS tax_n
+FROM p GROUP BY item_id
+"""))
+def page_subscores(t: Tables):
+    """X3 (F8 + A13): sub-score texts parsed to numbers, then average, exact median and
+    count of valid scores per item; malformed texts are skipped, not zero."""
+    from cellar.operators.stats import avg_median
+
+    li = t.lineitem
+    qty = F.when(F.col("l_linenumber") == 7, "x/50").otherwise(F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit("/50")))
+    tax = F.when(F.col("l_linenumber") == 6, "").otherwise(F.concat(F.round(F.col("l_tax") * 100).cast("long").cast("string"), F.lit("/10")))
+    p = li.select(
+        F.col("l_partkey").alias("item_id"),
+        pages.parse_fraction(qty).alias("qty"),
+        pages.parse_fraction(tax).alias("tax"),
+    )
+    out = avg_median(p, "item_id", ["qty", "tax"])
+    n = p.groupBy("item_id").agg(F.count("qty").alias("qty_n"), F.count("tax").alias("tax_n"))
+    return out.join(n, "item_id")
+
+
 @query("incremental_pages", sql("SELECT page_id, url, length(html) AS n_chars FROM pages"))
 def incremental_pages(t: Tables):
     """ST1: pages arrive in two batches (the second repeats one url of the first);

@@ -14,9 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def run_incremental(spark: SparkSession, schema: StructType, source_dir: str, sink_dir: str, checkpoint_dir: str, key: str = "url") -> None:
-    """Process every page file not yet committed, then stop (one ``availableNow`` run)."""
-    stream = spark.readStream.schema(schema).parquet(source_dir).dropDuplicates([key])
+def run_incremental(
+    spark: SparkSession,
+    schema: StructType,
+    source_dir: str,
+    sink_dir: str,
+    checkpoint_dir: str,
+    key: str = "url",
+    event_time: str | None = None,
+    delay: str = "7 days",
+) -> None:
+    """Process every page file not yet committed, then stop (one ``availableNow`` run).
+
+    Without ``event_time`` every key ever seen stays in the state store. With
+    it, a key is only deduplicated within ``delay`` of its first sighting and
+    the state is purged behind the watermark.
+    """
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    if event_time:
+        stream = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    else:
+        stream = stream.dropDuplicates([key])
     q = (
         stream.writeStream.format("parquet")
         .option("path", sink_dir)

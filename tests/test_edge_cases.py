@@ -313,3 +313,20 @@ def test_pearson_topk_matches_brute_force(spark, rows_per_group, monkeypatch):
             cand.append((-round(float(np.corrcoef(x, y)[0, 1]), 6), b))
         mine = sorted((-r["r"], r["b"]) for r in got if r["a"] == a)
         assert [b for _, b in mine] == [b for _, b in sorted(cand)[:3]]
+
+
+def test_streaming_dedupe_within_watermark(spark, tmp_path):
+    import datetime as dt
+
+    from cellar.streaming.pages import read_sink, run_incremental
+
+    schema = "page_id long, url string, html string, ts timestamp"
+    t0 = dt.datetime(2024, 1, 1)
+    a = spark.createDataFrame([(1, "u1", "x", t0), (2, "u2", "y", t0)], schema)
+    b = spark.createDataFrame([(3, "u1", "x", t0 + dt.timedelta(hours=1)), (4, "u3", "z", t0)], schema)
+    inbox, sink, ck = (os.path.join(str(tmp_path), d) for d in ("in", "out", "ck"))
+    a.write.parquet(inbox, mode="append")
+    run_incremental(spark, a.schema, inbox, sink, ck, event_time="ts", delay="1 day")
+    b.write.parquet(inbox, mode="append")
+    run_incremental(spark, a.schema, inbox, sink, ck, event_time="ts", delay="1 day")
+    assert rows(read_sink(spark, sink), "url") == [("u1",), ("u2",), ("u3",)]

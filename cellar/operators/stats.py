@@ -145,18 +145,15 @@ def best_per_key(df: DataFrame, key: str, item: str, score: str) -> DataFrame:
     )
 
 
-def best_worst(df: DataFrame, by: str, n: int = 10, tie: str | None = None) -> DataFrame:
-    """T5: the n rows with the lowest and the n with the highest ``by``, tagged."""
-    ties = [F.asc(tie)] if tie else []
-    best = df.orderBy(F.asc(by), *ties).limit(n).withColumn("tag", F.lit("best"))
-    worst = df.orderBy(F.desc(by), *ties).limit(n).withColumn("tag", F.lit("worst"))
-    return best.unionByName(worst)
-
+def best_worst(df: DataFrame, by: str, n: int = 10, ties: list[str] | None = None) -> DataFrame:
+    """T5: the n rows with the lowest and the n with the highest ``by``, tagged.
 
-def top_n_per_key(df: DataFrame, key: str, order: list, n: int, rank: str = "rank") -> DataFrame:
-    """Top n rows per key by an explicit order (WindowGroupLimit prunes early)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w).cast("long")).where(F.col(rank) <= n)
+    Two TakeOrderedAndProject top-n's; ``ties`` break equal values (ascending).
+    """
+    tb = [F.asc(c) for c in ties or []]
+    best = df.orderBy(F.asc(by), *tb).limit(n).withColumn("tag", F.lit("best"))
+    worst = df.orderBy(F.desc(by), *tb).limit(n).withColumn("tag", F.lit("worst"))
+    return best.unionByName(worst)
 
 
 def dense_ids(df: DataFrame, col: str, name: str = "id") -> DataFrame:

@@ -90,10 +90,9 @@ UNION ALL (SELECT *, 'worst' AS tag FROM e ORDER BY err DESC, uid, item_id LIMIT
 """))
 def best_worst_predictions(t: Tables):
     """T5: the 10 best and 10 worst predictions by absolute error."""
-    e = evaluate.with_error(baseline_preds(t)[0])
-    best = e.orderBy(F.asc("err"), "uid", "item_id").limit(10).withColumn("tag", F.lit("best"))
-    worst = e.orderBy(F.desc("err"), "uid", "item_id").limit(10).withColumn("tag", F.lit("worst"))
-    return best.unionByName(worst)
+    from cellar.operators.stats import best_worst
+
+    return best_worst(evaluate.with_error(baseline_preds(t)[0]), "err", 10, ["uid", "item_id"])
 
 
 @query("best_item_per_user", sql(_BASE + """

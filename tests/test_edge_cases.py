@@ -181,6 +181,20 @@ def _brute_pairs(long):
     return out
 
 
+def test_moment_sums_in_dimension_batches(monkeypatch):
+    import pandas as pd
+
+    rng = np.random.default_rng(17)
+    lt = pd.DataFrame({"a": rng.integers(0, 30, 400), "d": rng.integers(0, 20, 400), "x": rng.random(400)}).drop_duplicates(["a", "d"])
+    rt = lt.rename(columns={"a": "b", "x": "y"})
+    cols = similarity.MOMENTS
+    whole = similarity._moment_sums(lt, rt, True, cols).set_index(["a", "b"]).sort_index()
+    monkeypatch.setattr(similarity, "PAIR_ROWS_PER_BATCH", 7)  # many small batches
+    batched = similarity._moment_sums(lt, rt, True, cols).set_index(["a", "b"]).sort_index()
+    pd.testing.assert_frame_equal(whole, batched, check_exact=False, rtol=1e-12)
+    assert len(whole) > 100
+
+
 def test_pair_sums_blocks_and_chunks_match_brute_force(spark):
     rng = np.random.default_rng(3)
     long = [(int(e), int(d), float(rng.integers(1, 6))) for e in range(40) for d in range(30) if rng.random() < 0.3]

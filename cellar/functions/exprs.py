@@ -22,6 +22,21 @@ def rnd(c, digits: int = ROUND) -> Column:
     return F.round(c * F.lit(p)) / F.lit(p)
 
 
+def mean(c, decimals: int | None = None) -> Column:
+    """Mean rounded to 6 digits.
+
+    With ``decimals`` (values carry at most that many decimal places, e.g.
+    money or rates with 2) the mean is taken over exact decimals, so it does
+    not depend on summation order: Spark's decimal average keeps
+    ``decimals + 4`` places, half-up; the SQL oracle rounds the same way.
+    """
+    c = c if isinstance(c, Column) else F.col(c)
+    if decimals is None:
+        return rnd(F.avg(c))
+    assert decimals == ROUND - 4, "the decimal average keeps decimals + 4 places"
+    return F.avg(c.cast(f"decimal(18,{decimals})")).cast("double")
+
+
 def clamp(c: Column, lo: float, hi: float) -> Column:
     """Bound a prediction to the rating scale."""
     return F.least(F.greatest(c, F.lit(float(lo))), F.lit(float(hi)))

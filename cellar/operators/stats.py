@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import rnd
+from cellar.functions.exprs import mean, rnd
 from cellar.functions.quantiles import exact_quantiles
 from cellar.session import materialize
 
@@ -49,9 +49,9 @@ def matrix_density(ratings: DataFrame, user: str = "uid", item: str = "item_id")
     )
 
 
-def mean_per_key(df: DataFrame, key: str, cols: list[str], suffix: str = "_mean") -> DataFrame:
+def mean_per_key(df: DataFrame, key: str, cols: list[str], suffix: str = "_mean", decimals: int | None = None) -> DataFrame:
     """Mean of every numeric column per key (text columns are not averaged, D4)."""
-    return df.groupBy(key).agg(*[rnd(F.avg(c)).alias(f"{c}{suffix}") for c in cols])
+    return df.groupBy(key).agg(*[mean(c, decimals).alias(f"{c}{suffix}") for c in cols])
 
 
 def means_sorted(df: DataFrame, key: str, value: str, name: str = "mean") -> DataFrame:
@@ -66,7 +66,7 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return wide.unpivot([], cols, "column", "n_null")
 
 
-def numeric_describe(df: DataFrame, cols: list[str]) -> DataFrame:
+def numeric_describe(df: DataFrame, cols: list[str], decimals: int | None = None) -> DataFrame:
     """A10: count, mean, std, min, exact quartiles, max for each column (long form).
 
     Columns are unpivoted once so that one scan serves all of them; quartiles
@@ -75,7 +75,7 @@ def numeric_describe(df: DataFrame, cols: list[str]) -> DataFrame:
     long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     basic = long.groupBy("column").agg(
         F.count("value").alias("count"),
-        rnd(F.avg("value")).alias("mean"),
+        mean("value", decimals).alias("mean"),
         rnd(F.stddev_samp("value")).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -115,12 +115,12 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     )
 
 
-def avg_median(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def avg_median(df: DataFrame, key: str, cols: list[str], decimals: int | None = None) -> DataFrame:
     """Average and exact median per key of several sub-scores; empty -> NULL.
 
     The sub-scores are unpivoted once so one quantile pass serves all of them.
     """
-    out = df.groupBy(key).agg(*[rnd(F.avg(c)).alias(f"{c}_avg") for c in cols])
+    out = df.groupBy(key).agg(*[mean(c, decimals).alias(f"{c}_avg") for c in cols])
     long = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(key, cols, "_col", "_val")
     med = exact_quantiles(long, "_val", [0.5], by=[key, "_col"], names=["_med"])
     wide = med.groupBy(key).agg(*[F.max(F.when(F.col("_col") == c, rnd("_med"))).alias(f"{c}_med") for c in cols])

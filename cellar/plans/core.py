@@ -58,16 +58,21 @@ def matrix_density(t: Tables):
     return stats.matrix_density(t.ratings())
 
 
-@query("item_mean_scores", sql("""
-SELECT l_partkey AS item_id, round(avg(l_quantity), 6) AS l_quantity_mean,
-       round(avg(l_extendedprice), 6) AS l_extendedprice_mean,
-       round(avg(l_discount), 6) AS l_discount_mean, round(avg(l_tax), 6) AS l_tax_mean
+def M(c: str) -> str:  # noqa: N802
+    """Oracle twin of ``mean(c, decimals=2)``: exact decimal mean, half-up at 6 places."""
+    return f"CAST(round(CAST(avg(CAST({c} AS DECIMAL(18,2))) AS DECIMAL(38,10)), 6) AS DOUBLE)"
+
+
+@query("item_mean_scores", sql(f"""
+SELECT l_partkey AS item_id, {M("l_quantity")} AS l_quantity_mean,
+       {M("l_extendedprice")} AS l_extendedprice_mean,
+       {M("l_discount")} AS l_discount_mean, {M("l_tax")} AS l_tax_mean
 FROM lineitem GROUP BY l_partkey
 """))
 def item_mean_scores(t: Tables):
     """Mean of every numeric sub-score per item."""
     li = t.lineitem.withColumnRenamed("l_partkey", "item_id")
-    return stats.mean_per_key(li, "item_id", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return stats.mean_per_key(li, "item_id", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], decimals=2)
 
 
 @query("category_means_sorted", sql("""
@@ -95,11 +100,11 @@ _DESCRIBE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("numeric_describe", sql("\n UNION ALL ".join(f"""
-SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+SELECT '{c}' AS "column", count({c}) AS count, {M(c)} AS mean, round(stddev_samp({c}), 6) AS std,
        min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
        round(quantile_cont({c}, 0.75), 6) AS q75, max({c}) AS max FROM lineitem""" for c in _DESCRIBE_COLS)))
 def numeric_describe(t: Tables):
-    return stats.numeric_describe(t.lineitem, _DESCRIBE_COLS)
+    return stats.numeric_describe(t.lineitem, _DESCRIBE_COLS, decimals=2)
 
 
 @query("ratings_per_user_stats", sql("""
@@ -338,13 +343,13 @@ def top_producers_named(t: Tables):
 
 @query("subscore_avg_median", sql("""
 SELECT l_partkey AS item_id,
-""" + ",\n".join(f"  round(avg({c}), 6) AS {c}_avg, round(median({c}), 6) AS {c}_med" for c in ["l_quantity", "l_discount", "l_tax"]) + """
+""" + ",\n".join(f"  {M(c)} AS {c}_avg, round(median({c}), 6) AS {c}_med" for c in ["l_quantity", "l_discount", "l_tax"]) + """
 FROM lineitem GROUP BY l_partkey
 """))
 def subscore_avg_median(t: Tables):
     """Average and exact median of sub-scores per item."""
     li = t.lineitem.withColumnRenamed("l_partkey", "item_id")
-    return stats.avg_median(li, "item_id", ["l_quantity", "l_discount", "l_tax"])
+    return stats.avg_median(li, "item_id", ["l_quantity", "l_discount", "l_tax"], decimals=2)
 
 
 @query("users_min_overlap", sql("""

@@ -11,8 +11,6 @@ sketch only decides where the ranges are cut.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,31 +21,35 @@ def exact_quantiles(
     qs: list[float],
     by: list[str] | None = None,
     names: list[str] | None = None,
-    buckets: int | None = None,
-    rows_per_range: int = 2_000_000,
+    buckets: int = 64,
+    rows_per_range: int = 1_000_000,
 ) -> DataFrame:
     """One row per group with one column per quantile in ``qs``.
 
-    NULL values are ignored; a group with no value gets no row. ``buckets``
-    (ranges per group) defaults to rows / ``rows_per_range`` (at most 1024),
-    from one count of the input.
+    NULL values are ignored; a group with no value gets no row. Only groups
+    with more than ``rows_per_range`` rows are cut into ``buckets`` ranges
+    (the sketch runs on those groups alone); smaller groups are one range.
     """
     by = list(by or [])
     names = names or [f"q{int(round(q * 100))}" for q in qs]
     v = F.col(value)
-    base = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    gkey = by if by else [F.lit(0).alias("_g")]
     gcols = by if by else ["_g"]
+    base = df.select(*[F.col(c) for c in by] or [F.lit(0).alias("_g")], v.cast("double").alias("_v"))
+    base = base.where(F.col("_v").isNotNull())
 
-    if buckets is None:
-        buckets = int(min(1024, max(1, math.ceil(base.count() / rows_per_range))))
-    vc = base.groupBy(*gkey, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    vc = base.groupBy(*gcols, "_v").agg(F.count(F.lit(1)).alias("_c"))
     if buckets > 1:
+        # groups large enough to be cut: their count is known from vc, and they
+        # are few (at most rows / rows_per_range of them)
+        big = vc.groupBy(*gcols).agg(F.sum("_c").alias("_gn")).where(F.col("_gn") > rows_per_range).select(*gcols)
         fracs = [i / buckets for i in range(1, buckets)]
-        bounds = base.groupBy(*gkey).agg(F.percentile_approx("_v", fracs, max(1000, 4 * buckets)).alias("_b"))
-        vcb = vc.join(bounds, gcols).select(
-            *gcols, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_k")
+        bounds = (
+            base.join(big, gcols, "left_semi")
+            .groupBy(*gcols)
+            .agg(F.percentile_approx("_v", fracs, max(1000, 16 * buckets)).alias("_b"))
         )
+        k = F.when(F.col("_b").isNull(), F.lit(0)).otherwise(F.size(F.filter("_b", lambda b: b < F.col("_v"))))
+        vcb = vc.join(bounds, gcols, "left").select(*gcols, "_v", "_c", k.alias("_k"))
     else:
         vcb = vc.select(*gcols, "_v", "_c", F.lit(0).alias("_k"))
     # rank offset of every range: a prefix sum over (groups x buckets) rows

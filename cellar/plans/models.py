@@ -245,12 +245,9 @@ def als_item_factors(t: Tables):
 
 @query("als_recommend_all")
 def als_recommend_all(t: Tables):
-    """M5 + J10: top-10 items per user by the factor product (ALS's blocked recommendForAllUsers)."""
+    """M5 + J10: top-10 items per user by the factor product, scored block pair by block pair."""
     model, _, _ = _als_fit(t)
-    r = model.recommendForAllUsers(K_TOP)
-    return r.select("uid", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "uid", F.col("rec.item_id").alias("item_id"), F.col("rec.rating").alias("est"), (F.col("pos") + 1).alias("rank")
-    )
+    return factor.recommend_all(model.userFactors, model.itemFactors, K_TOP)
 
 
 @query("als_persist_reload")

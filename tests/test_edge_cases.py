@@ -344,3 +344,18 @@ def test_streaming_dedupe_within_watermark(spark, tmp_path):
     b.write.parquet(inbox, mode="append")
     run_incremental(spark, a.schema, inbox, sink, ck, event_time="ts", delay="1 day")
     assert rows(read_sink(spark, sink), "url") == [("u1",), ("u2",), ("u3",)]
+
+
+def test_recommend_all_matches_numpy(spark):
+    from cellar.operators import factor
+
+    rng = np.random.default_rng(19)
+    P, Q = rng.normal(size=(23, 3)), rng.normal(size=(31, 3))
+    uf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(P)], "id int, features array<float>")
+    itf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(Q)], "id int, features array<float>")
+    got = factor.recommend_all(uf, itf, k=4, block_size=5).collect()
+    P32, Q32 = P.astype("float32").astype("float64"), Q.astype("float32").astype("float64")
+    S = P32 @ Q32.T
+    for u in range(23):
+        mine = [r["item_id"] for r in sorted((r for r in got if r["uid"] == u), key=lambda r: r["rank"])]
+        assert mine == list(np.argsort(-S[u], kind="stable")[:4])

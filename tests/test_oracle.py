@@ -24,9 +24,15 @@ def test_every_query_registered_with_oracle_or_model():
     }
 
 
+def assert_no_cross_join(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
+    assert_no_cross_join(df)
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(ORACLE[key])
     ocols = [d[0] for d in cur.description]
@@ -38,7 +44,9 @@ def test_matches_oracle(spark, duck, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
 def test_model_queries_run(spark, key):
-    assert QUERIES[key](spark, SF_SMALL).count() > 0
+    df = QUERIES[key](spark, SF_SMALL)
+    assert_no_cross_join(df)
+    assert df.count() > 0
 
 
 def test_entry_smoke(spark):

@@ -56,6 +56,4 @@ user_type AS (SELECT user_id AS uid, event_type AS item, avg(value) AS score FRO
 
 def sql(body: str) -> str:
     """Oracle SQL with the role views in front; ``body`` may start with ``, name AS (...)``."""
-    body = body.strip()
-    sep = "\n" if body.startswith(",") else "\n"
-    return VIEWS.strip() + sep + body
+    return VIEWS.strip() + "\n" + body.strip()

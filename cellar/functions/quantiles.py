@@ -11,6 +11,8 @@ sketch only decides where the ranges are cut.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,11 +60,19 @@ def exact_quantiles(
     totals = totals.select(
         *gcols,
         "_k",
+        "_bc",
         (F.sum("_bc").over(wg) - F.col("_bc")).alias("_off"),
         F.sum("_bc").over(Window.partitionBy(*gcols)).alias("_n"),
     )
+    # only the ranges holding a wanted rank (two per quantile) are ordered
+    holds = []
+    for q in qs:
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        for pos in (F.floor(h), F.ceil(h)):
+            holds.append((F.col("_off") <= pos) & (pos < F.col("_off") + F.col("_bc")))
+    wanted = totals.where(reduce(lambda a, b: a | b, holds)).select(*gcols, "_k", "_off", "_n")
     wb = Window.partitionBy(*gcols, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vcb.join(totals, gcols + ["_k"]).select(
+    cum = vcb.join(wanted, gcols + ["_k"]).select(
         *gcols, "_v", "_n", (F.col("_off") + F.sum("_c").over(wb)).alias("_cum")
     )
     aggs = [F.first("_n").alias("_n")]

@@ -31,7 +31,7 @@ pred AS (SELECT t.uid, t.item_id, t.score AS true_r,
 
 
 def baseline_preds(t: Tables):
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     model = factor.fit_baseline(train)
     return factor.prediction_rows(factor.predict_baseline(model, test)), train, model
 
@@ -53,7 +53,7 @@ UNION ALL SELECT 'user', uid, round(b_u, 6), n_u FROM bu
 """))
 def baseline_biases(t: Tables):
     """M9 + M4: the fitted item and user biases."""
-    train, _ = train_test(t.ratings())
+    train, _ = train_test(t.ratings_table())
     m = factor.fit_baseline(train)
     i = m.item_bias.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), rnd("b_i").alias("bias"), F.col("n_i").alias("n"))
     u = m.user_bias.select(F.lit("user").alias("kind"), F.col("uid").alias("id"), rnd("b_u").alias("bias"), F.col("n_u").alias("n"))
@@ -187,7 +187,7 @@ SELECT CAST(fold AS INTEGER) AS fold, round(rmse, 6) AS rmse, round(mae, 6) AS m
 """))
 def baseline_cv_rmse(t: Tables):
     """3-fold cross-validated RMSE and MAE of the baseline, one plan for all folds."""
-    pf = evaluate.baseline_cv(t.ratings(), 3)
+    pf = evaluate.baseline_cv(t.ratings_table(), 3)
     return pf.select(F.col("fold").cast("int").alias("fold"), rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), "n")
 
 
@@ -198,7 +198,7 @@ SELECT reg_i, reg_u, round(rmse, 6) AS rmse, round(mae, 6) AS mae,
 """))
 def baseline_grid_search(t: Tables):
     """Grid over the two damping terms, 3-fold mean RMSE and MAE, ranked (best first)."""
-    pf = evaluate.baseline_cv(t.ratings(), 3, GRID)
+    pf = evaluate.baseline_cv(t.ratings_table(), 3, GRID)
     m = pf.groupBy("reg_i", "reg_u").agg(rnd(F.avg("rmse")).alias("rmse"), rnd(F.avg("mae")).alias("mae"))
     # one row per grid point: a window over the grid, bounded by its size
     w = Window.orderBy("rmse", "reg_i", "reg_u")
@@ -215,7 +215,7 @@ SELECT * FROM r WHERE rank <= {K_TOP}
 """))
 def baseline_score_all(t: Tables):
     """M6 + J10 + T12: every training user's 10 best items over all items (no user x item product)."""
-    train, _ = train_test(t.ratings())
+    train, _ = train_test(t.ratings_table())
     m = factor.fit_baseline(train)
     return factor.score_all_top(m, train.select("uid").distinct(), K_TOP)
 
@@ -224,7 +224,7 @@ def baseline_score_all(t: Tables):
 
 
 def _als_fit(t: Tables, rank: int = 8, reg: float = 0.1):
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     model = factor.als(rank=rank, reg=reg, max_iter=8).fit(train)
     return model, train, test
 
@@ -264,7 +264,7 @@ def als_persist_reload(t: Tables):
 @query("biased_mf_predictions")
 def biased_mf_predictions(t: Tables):
     """M2 re-aimed: baseline biases + signed ALS factors on the residuals."""
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     base, model = factor.fit_biased_mf(train, rank=8, max_iter=8)
     return factor.predict_biased_mf(base, model, test)
 
@@ -272,14 +272,14 @@ def biased_mf_predictions(t: Tables):
 @query("normal_predictor")
 def normal_predictor(t: Tables):
     """Random N(mu, sigma) predictions, clamped, seeded."""
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     return factor.normal_predictor(train, test)
 
 
 @query("als_grid_search")
 def als_grid_search(t: Tables):
     """Rank x regParam grid with 3-fold CrossValidator; mean RMSE per grid point."""
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     est = factor.als(max_iter=5)
     grid = ParamGridBuilder().addGrid(est.rank, [4, 8]).addGrid(est.regParam, [0.05, 0.1]).build()
     ev = RegressionEvaluator(metricName="rmse", labelCol="score", predictionCol="prediction")
@@ -297,7 +297,7 @@ def als_grid_search(t: Tables):
 @query("model_comparison")
 def model_comparison(t: Tables):
     """M11 (model table) + F9: RMSE and MAE of each predictor on the held-out split, 3 decimals."""
-    train, test = train_test(t.ratings())
+    train, test = train_test(t.ratings_table())
     base = factor.fit_baseline(train)
     preds = {
         "baseline": factor.prediction_rows(factor.predict_baseline(base, test)),

@@ -51,6 +51,15 @@ class Tables:
         """One rating per (uid, item_id); repeated pairs keep the highest score."""
         return dedupe_ratings(self.ratings_raw())
 
+    def ratings_table(self) -> DataFrame:
+        """``ratings`` written once to the shared folder, for plans that read it several
+        times (fits, folds, test passes): the join and de-duplication run once."""
+        if not hasattr(self, "_ratings_table"):
+            from cellar.session import materialize
+
+            self._ratings_table = materialize(self.ratings(), "ratings")
+        return self._ratings_table
+
     def items(self) -> DataFrame:
         """Item attributes; the producer of an item is its smallest supplier."""
         prod = (

@@ -359,3 +359,11 @@ def test_recommend_all_matches_numpy(spark):
     for u in range(23):
         mine = [r["item_id"] for r in sorted((r for r in got if r["uid"] == u), key=lambda r: r["rank"])]
         assert mine == list(np.argsort(-S[u], kind="stable")[:4])
+
+
+def test_distinct_counts_exact_and_approx(spark):
+    df = spark.createDataFrame([(u, i) for u in range(50) for i in range(u % 7 + 1)], "uid long, item_id long")
+    ex = stats.distinct_counts(df).first()
+    ap = stats.distinct_counts(df, approx=0.01).first()
+    assert (ex["n_users"], ex["n_items"]) == (50, 7)
+    assert abs(ap["n_users"] - 50) <= 2 and ap["n_items"] == 7

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -40,24 +40,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is (the context picks it up at start). Only when nothing is set (tests,
-    local runs) a folder of our own is created and given to the context.
+    is (the context picks it up at start). Only when nothing is set and the
+    master is local (tests, one machine) a folder of our own is created; on any
+    other master a machine-local folder would scatter the data, so that raises.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cellar-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="cellar-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "cellar-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path under the shared checkpoint folder (full URI kept)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/cellar-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellar.session import materialize  # noqa: F401  (one place to import it from)
 
@@ -23,7 +24,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` for a function of one batch; empty batches are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,6 +36,17 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
     return df.mapInArrow(run, schema)
 
 
+def with_struct(df: DataFrame, name: str, kind: str, fn: Callable[[pa.Array], pa.StructArray], text: str = "text") -> DataFrame:
+    """``df`` and one struct column ``name`` that ``fn`` makes from a batch of texts; a column of that name is replaced."""
+    df = df.drop(*[c for c in df.columns if c.lower() == name.lower()])
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*b.columns, fn(b.column(text))], names=[*b.schema.names, name])
+
+    return map_batches(df, one, schema)
+
+
 def fill_text(df: DataFrame, column: str = "text"):
     """The text column as a string; null reads as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -24,3 +24,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words", "base_failed", "kept", F.array_join("broken", ",").alias("broken_rules"))
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cellar.llm import spiece
+
+    return spiece.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -33,3 +33,31 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import spiece
 
     return spiece.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import chat
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = spark.range(2, numPartitions=1).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text")
+    )
+    return chat.digests(chat.format_parts(rows.unionByName(fixed)))
+
+
+# the formatted text has three fixed strings a turn; an escape adds one code point for each backslash and colon, and takes 1 or 5 for each marker
+ORACLE["op9_chat_format"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c'))
+          + length(replace(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c')) + 14 AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -61,3 +61,10 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")

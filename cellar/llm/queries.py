@@ -68,3 +68,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import licenses
 
     return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import decontam
+
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -75,3 +75,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import decontam
 
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import substring_dedup
+
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))

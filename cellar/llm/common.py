@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,10 @@ from pyspark.sql import types as T
 from cellar.session import materialize  # noqa: F401  (one place to import it from)
 
 
+#: stands for a null document id where ids are keys
+NO_ID = -(1 << 63)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -50,3 +55,21 @@ def with_struct(df: DataFrame, name: str, kind: str, fn: Callable[[pa.Array], pa
 def fill_text(df: DataFrame, column: str = "text"):
     """The text column as a string; null reads as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def pack_texts(df: DataFrame) -> DataFrame:
+    """The rows with their text ``_text`` compressed as ``_z``, for a shuffle."""
+    schema = T.StructType([f if f.name != "_text" else T.StructField("_z", T.BinaryType()) for f in df.schema.fields])
+
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        z = pa.array([None if t is None else pack(t.encode()) for t in b.column("_text").to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([z if n == "_text" else c for n, c in zip(b.schema.names, b.columns)], names=schema.names)
+
+    return map_batches(df, one, schema)
+
+
+def unpack_texts(z: pa.Array) -> pa.Array:
+    """The texts of a ``_z`` column; null reads as empty."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([b"" if x is None else unpack(x) for x in z.to_pylist()], pa.large_binary()).cast(pa.large_string())

@@ -82,3 +82,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import substring_dedup
 
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import jaccard_join
+
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))

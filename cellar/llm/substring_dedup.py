@@ -40,12 +40,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellar.llm.common import fresh, map_batches, materialize
+from cellar.llm.common import NO_ID, fresh, map_batches, materialize, pack_texts, unpack_texts
 from cellar.llm.words import U, Words, mix, run_hashes, slices
 
 WINDOW, GRAM = 20, 6
@@ -53,7 +52,6 @@ MAX_RUN = 64  # windows of a segment; below 128, see _at
 SHARD = 2000
 SALTS = 64
 SAMPLE, HOT_LEAST, MAX_HOT = 0.01, 50, 1000  # share of documents, rows of an anchor in it, anchors taken
-NO_ID = -(1 << 63)
 
 
 # ---- anchors and segments ----------------------------------------------------
@@ -319,29 +317,12 @@ def _match_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 # ---- texts ---------------------------------------------------------------------
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """The rows with their texts compressed, for a shuffle."""
-    schema = T.StructType([f if f.name != "_text" else T.StructField("_z", T.BinaryType()) for f in docs.schema.fields])
-
-    def one(b: pa.RecordBatch) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        z = pa.array([None if t is None else pack(t.encode()) for t in b.column("_text").to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([z if n == "_text" else c for n, c in zip(b.schema.names, b.columns)], names=schema.names)
-
-    return map_batches(docs, one, schema)
-
-
-def _unpacked(z: pa.Array) -> pa.Array:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return pa.array([b"" if x is None else unpack(x) for x in z.to_pylist()], pa.large_binary()).cast(pa.large_string())
-
-
 def _reference_texts(docs: DataFrame, references: DataFrame) -> DataFrame:
     """(h, doc, first, words) of the references."""
     wanted = references.groupBy(F.col("doc").alias("_k")).agg(F.collect_list(F.struct("h", "at")).alias("_want"))
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts, ids, want = _unpacked(b.column("_z")), b.column("_k").to_pylist(), b.column("_want").to_pylist()
+        texts, ids, want = unpack_texts(b.column("_z")), b.column("_k").to_pylist(), b.column("_want").to_pylist()
         out = []
         for i, j, offsets, data in slices(texts):
             w, raw = Words(offsets, data), data.tobytes()
@@ -354,7 +335,7 @@ def _reference_texts(docs: DataFrame, references: DataFrame) -> DataFrame:
         h, doc, first, words = (list(c) for c in zip(*out)) if out else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(doc, pa.int64()), pa.array(first, pa.int64()), pa.array(words, pa.binary())], names=["h", "doc", "first", "words"])
 
-    both = _packed(docs.select("_k", "_text")).join(wanted, "_k").select("_k", "_z", "_want")
+    both = pack_texts(docs.select("_k", "_text")).join(wanted, "_k").select("_k", "_z", "_want")
     return map_batches(both, one, "h bigint, doc bigint, first bigint, words binary")
 
 
@@ -370,7 +351,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
 def _marked(keyed: DataFrame) -> DataFrame:
     """Rows that have ``_k`` and ``_text``, with the text compressed as ``_z`` and the list ``_gone`` of the runs of windows that go."""
     runs = repeated(keyed, "_k", "_text").groupBy(F.col("doc").alias("_k")).agg(F.collect_list("at").alias("_gone"))
-    return _packed(keyed).join(runs, "_k", "left")
+    return pack_texts(keyed).join(runs, "_k", "left")
 
 
 def _gone_words(w: Words, gone: list[list[int] | None]) -> np.ndarray:
@@ -393,7 +374,7 @@ def digest(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         gone, n_words, n_gone, sha = b.column("_gone").to_pylist(), [], [], []
-        for i, j, offsets, data in slices(_unpacked(b.column("_z"))):
+        for i, j, offsets, data in slices(unpack_texts(b.column("_z"))):
             w, raw = Words(offsets, data), data.tobytes()
             out = _gone_words(w, gone[i:j])
             for d in range(j - i):
@@ -423,7 +404,7 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", chars: str =
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         gone, out = b.column("_gone").to_pylist(), []
         missing = b.column("_z").is_null().to_pylist()
-        for i, j, offsets, data in slices(_unpacked(b.column("_z"))):
+        for i, j, offsets, data in slices(unpack_texts(b.column("_z"))):
             w = Words(offsets, data)
             cut = np.flatnonzero(_gone_words(w, gone[i:j]))
             edge = np.zeros(len(data) + 1, np.int64)

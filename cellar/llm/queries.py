@@ -89,3 +89,56 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import jaccard_join
 
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold neither fetch times nor lists; both follow from the pages by fixed rules, so the list grows with the hosts."""
+    from cellar.llm import url_lists
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.expr("date_add(DATE'2023-01-01', CAST(pmod(page_id * 37, 730) AS INT))").alias("fetched"))
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host"), F.element_at(url_lists.segments_of(F.col("url")), 1).alias("seg")).where("host <> ''").distinct()
+    domain = F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    listed = hosts.select(domain.alias("pattern")).where("pattern <> ''").distinct()
+    first = F.expr("date_add(DATE'2023-01-01', pmod(length(pattern) * 17, 365))")
+    spam = listed.where(F.col("pattern").rlike("casino|bets|pills|win"))
+    rest = listed.where("pmod(length(pattern), 5) = 0")
+    paths = hosts.where("host LIKE 'm.%' AND seg IS NOT NULL").select(F.concat_ws("/", "host", "seg").alias("pattern"), F.lit("allow").alias("action"), F.to_date(F.lit("2023-06-01")).alias("since"))
+    entries = (
+        spam.select("pattern", F.lit("block").alias("action"), first.alias("since"))
+        .unionByName(spam.select("pattern", F.lit("remove").alias("action"), F.date_add(first, 180).alias("since")))
+        .unionByName(spam.select("pattern", F.lit("block").alias("action"), F.to_date(F.lit("2024-07-01")).alias("since")))
+        .unionByName(rest.select("pattern", F.lit("block").alias("action"), F.to_date(F.lit("2024-03-01")).alias("since")))
+        .unionByName(rest.select("pattern", F.lit("allow").alias("action"), F.to_date(F.lit("2024-09-01")).alias("since")))
+        .unionByName(paths)
+    )
+    return url_lists.judge(pages, entries)
+
+
+ORACLE["op7_url_lists"] = r"""
+WITH pages_ AS (
+  SELECT page_id, url, CAST(DATE '2023-01-01' + CAST((page_id * 37) % 730 AS INTEGER) AS DATE) AS fetched,
+    regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)', 1)), '\.+$', '') AS host,
+    list_filter(string_split(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS segs FROM pages),
+hosts AS (SELECT DISTINCT host, segs[1] AS seg FROM pages_ WHERE host <> ''),
+listed AS (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS pattern FROM hosts WHERE regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) <> ''),
+spam AS (SELECT pattern, CAST(DATE '2023-01-01' + CAST((length(pattern) * 17) % 365 AS INTEGER) AS DATE) AS d FROM listed WHERE regexp_matches(pattern, 'casino|bets|pills|win')),
+rest AS (SELECT pattern FROM listed WHERE length(pattern) % 5 = 0),
+entries AS (
+  SELECT pattern, 'block' AS action, d AS since FROM spam UNION ALL SELECT pattern, 'remove', CAST(d + 180 AS DATE) FROM spam
+  UNION ALL SELECT pattern, 'block', DATE '2024-07-01' FROM spam UNION ALL SELECT pattern, 'block', DATE '2024-03-01' FROM rest
+  UNION ALL SELECT pattern, 'allow', DATE '2024-09-01' FROM rest
+  UNION ALL SELECT host || '/' || seg, 'allow', DATE '2023-06-01' FROM hosts WHERE host LIKE 'm.%' AND seg IS NOT NULL),
+ranked AS (SELECT lower(pattern) AS pattern, since, max(CASE action WHEN 'block' THEN 3 WHEN 'allow' THEN 2 ELSE 1 END) AS r FROM entries GROUP BY 1, 2),
+spans AS (SELECT pattern, r, since AS valid_from, lead(since) OVER (PARTITION BY pattern ORDER BY since) AS valid_to FROM ranked),
+keys AS (SELECT DISTINCT url, fetched, host, segs, string_split(host, '.') AS labels FROM pages_ WHERE host <> ''),
+asked AS (
+  SELECT DISTINCT url, fetched, unnest(list_concat(
+    list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')),
+    list_transform(range(1, len(segs) + 1), lambda i: host || '/' || array_to_string(segs[1:i], '/')))) AS pattern FROM keys),
+best AS (
+  SELECT url, fetched, max({'n': length(a.pattern), 'pattern': a.pattern, 'r': r, 'valid_from': valid_from}) AS b
+  FROM asked a JOIN spans s ON a.pattern = s.pattern AND r > 1 AND fetched >= valid_from AND (valid_to IS NULL OR fetched < valid_to) GROUP BY url, fetched)
+SELECT p.page_id, p.url, p.fetched, coalesce(b.r = 3, false) AS blocked, b.pattern AS pattern, CASE b.r WHEN 3 THEN 'block' WHEN 2 THEN 'allow' END AS action, b.valid_from AS valid_from
+FROM pages_ p LEFT JOIN best ON p.url IS NOT DISTINCT FROM best.url AND p.fetched IS NOT DISTINCT FROM best.fetched
+"""

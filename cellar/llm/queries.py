@@ -142,3 +142,10 @@ best AS (
 SELECT p.page_id, p.url, p.fetched, coalesce(b.r = 3, false) AS blocked, b.pattern AS pattern, CASE b.r WHEN 3 THEN 'block' WHEN 2 THEN 'allow' END AS action, b.valid_from AS valid_from
 FROM pages_ p LEFT JOIN best ON p.url IS NOT DISTINCT FROM best.url AND p.fetched IS NOT DISTINCT FROM best.fetched
 """
+
+
+@query
+def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import compression_quality
+
+    return compression_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

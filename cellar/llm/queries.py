@@ -149,3 +149,10 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import compression_quality
 
     return compression_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import html_crf
+
+    return html_crf.extract_text(table(spark, sf_dir, "pages"))

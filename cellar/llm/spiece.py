@@ -33,6 +33,7 @@ from cellar.llm.common import map_batches
 
 SPACE = "▁".encode()  # the visible space of the format
 _NORMALIZER_SPEC, _NORMAL, _BYTE = 3, 1, 6
+FEW = 64  # texts whose pieces are held at a time
 
 
 # ---- protocol buffer fields ------------------------------------------------
@@ -210,22 +211,29 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", into: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str = "text", into: str = "tokens", decoded: str | None = None) -> DataFrame:
     """``docs`` and struct ``into``: ids, first and end (byte spans of the source text) of every piece.
 
-    A column named as ``into`` is replaced. ``model`` is a path that every executor has.
+    With ``decoded``, a column of that name gets the text that the ids decode
+    to. Columns of these names are replaced. ``model`` is a path that every
+    executor has. Rows leave in small batches, so a task holds few texts' ids.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.lower() == into.lower()])
+    new = [into, *([decoded] if decoded else [])]
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in [n.lower() for n in new]])
     kind = T._parse_datatype_string("struct<ids:array<int>,first:array<bigint>,end:array<bigint>>")
+    kinds = (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
 
-    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
-        got = [enc.encode(t or "") for t in b.column(text).to_pylist()]
-        lists = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())))]
-        out = pa.StructArray.from_arrays(lists, ["ids", "first", "end"])
-        return pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, into])
+        for b in (s.slice(i, FEW) for s in batches for i in range(0, s.num_rows, FEW)):
+            got = [enc.encode(t or "") for t in b.column(text).to_pylist()]
+            cols = [pa.StructArray.from_arrays([pa.array([g[k] for g in got], kinds[k]) for k in range(3)], ["ids", "first", "end"])]
+            if decoded:
+                cols.append(pa.array([enc.decode(g[0]) if g[0] else "" for g in got], pa.string()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *new])
 
-    return map_batches(docs, one, T.StructType([*docs.schema.fields, T.StructField(into, kind)]))
+    fields_ = [T.StructField(into, kind), *([T.StructField(decoded, T.StringType())] if decoded else [])]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields_]))
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -234,7 +242,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(model)
-        out = pa.array([enc.decode(x) if x else "" for x in b.column(ids).to_pylist()], pa.string())
+        out = pa.array([enc.decode(x.as_py()) if x.is_valid else "" for x in b.column(ids)], pa.string())
         return pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, into])
 
     return map_batches(df, one, T.StructType([*df.schema.fields, T.StructField(into, T.StringType())]))

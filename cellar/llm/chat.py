@@ -105,10 +105,7 @@ def _turns(layout: str, have: set[str]) -> Column:
             top, role_field = role.split("[].")
             text_field = text.split("[].")[1]
 
-            def one(x: Column, r=role_field, t=text_field, known=text in have) -> Column:
-                return _turn(x[r], x[t] if known else F.lit(""))
-
-            return F.transform(F.col(f"`{top}`"), one)
+            return F.transform(F.col(f"`{top}`"), lambda x: _turn(x[role_field], x[text_field] if text in have else F.lit("")))  # noqa: B023  (returned at once)
         parts = [F.col(f"`{p}`").cast("string") for p in text.split("+") if p in have]
         body = F.concat_ws("\n\n", *parts) if len(parts) > 1 else parts[0] if parts else F.lit(None).cast("string")
         turns.append(F.when(body.isNotNull() | F.lit(layout == "turn"), _turn(F.lit(role[1:]) if role[0] == "=" else F.col(role) if role in have else F.lit(None), body)))

@@ -32,12 +32,12 @@ from cellar.llm.words import Words, slices, span_hashes, within
 
 #: rule: (expression over the measures m, higher is worse, cutoffs from loose to strict)
 RULES = {
-    "symbols": ("m.n_symbols / m.n_words", True, (2.0, 1.0, 0.5, 0.3, 0.2, 0.1, 0.05)),
-    "dup_lines": ("m.n_dup_lines / m.n_lines", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.2)),
-    "repeats": ("m.n_repeat_words / m.n_words", True, (0.5, 0.3, 0.2, 0.15, 0.1)),
-    "upper": ("m.n_upper / m.word_chars", True, (0.9, 0.7, 0.5, 0.3, 0.2)),
-    "exclaims": ("m.n_exclaims / m.n_words", True, (2.0, 1.0, 0.5, 0.3, 0.2)),
-    "long_words": ("m.word_chars / m.n_words", True, (30.0, 20.0, 15.0, 12.0, 10.0)),
+    "symbols": ("try_divide(m.n_symbols, m.n_words)", True, (2.0, 1.0, 0.5, 0.3, 0.2, 0.1, 0.05)),
+    "dup_lines": ("try_divide(m.n_dup_lines, m.n_lines)", True, (0.9, 0.7, 0.5, 0.4, 0.3, 0.2)),
+    "repeats": ("try_divide(m.n_repeat_words, m.n_words)", True, (0.5, 0.3, 0.2, 0.15, 0.1)),
+    "upper": ("try_divide(m.n_upper, m.word_chars)", True, (0.9, 0.7, 0.5, 0.3, 0.2)),
+    "exclaims": ("try_divide(m.n_exclaims, m.n_words)", True, (2.0, 1.0, 0.5, 0.3, 0.2)),
+    "long_words": ("try_divide(m.word_chars, m.n_words)", True, (30.0, 20.0, 15.0, 12.0, 10.0)),
 }
 
 MEASURES = "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_lines:bigint,n_dup_lines:bigint,n_repeat_words:bigint,n_upper:bigint,n_exclaims:bigint>"

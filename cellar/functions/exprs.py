@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Decimal places computed doubles are rounded to before they are ranked or
@@ -46,6 +46,12 @@ def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
+def nan_as_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """NaN in float columns (of ``cols``, else of all) becomes NULL: one kind of missing value (D3)."""
+    wanted = {f.name: f.dataType for f in df.schema.fields if f.dataType.typeName() in ("double", "float") and (cols is None or f.name in cols)}
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)).cast(t) for c, t in wanted.items()}) if wanted else df
+
+
 def pearson_from_moments(n, sx, sy, sxx, syy, sxy, eps: float = 1e-9) -> Column:
     """Pearson r from six moment sums; NULL when a side is constant.
 

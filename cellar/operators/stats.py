@@ -1,11 +1,15 @@
-"""Counts, top-n, summaries, histograms, dense ids."""
+"""Counts, top-n, summaries, histograms, dense ids.
+
+Numeric operators take NaN for missing, as NULL (D3): every one of them passes
+its input through ``nan_as_null`` first.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import mean, rnd
+from cellar.functions.exprs import mean, nan_as_null, rnd
 from cellar.functions.quantiles import exact_quantiles
 from cellar.session import materialize
 
@@ -55,43 +59,53 @@ def matrix_density(ratings: DataFrame, user: str = "uid", item: str = "item_id")
 
 def mean_per_key(df: DataFrame, key: str, cols: list[str], suffix: str = "_mean", decimals: int | None = None) -> DataFrame:
     """Mean of every numeric column per key (text columns are not averaged, D4)."""
-    return df.groupBy(key).agg(*[mean(c, decimals).alias(f"{c}{suffix}") for c in cols])
+    return nan_as_null(df, cols).groupBy(key).agg(*[mean(c, decimals).alias(f"{c}{suffix}") for c in cols])
 
 
 def means_sorted(df: DataFrame, key: str, value: str, name: str = "mean") -> DataFrame:
     """Mean per category, ordered by the mean."""
-    return df.groupBy(key).agg(rnd(F.avg(value)).alias(name)).orderBy(name, key)
+    return nan_as_null(df, [value]).groupBy(key).agg(rnd(F.avg(value)).alias(name)).orderBy(name, key)
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """NULL cells per column, one row per column (unpivoted)."""
+    """Missing cells (NULL or NaN) per column, one row per column (unpivoted)."""
     cols = cols or df.columns
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    wide = nan_as_null(df, cols).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "n_null")
 
 
 def numeric_describe(df: DataFrame, cols: list[str], decimals: int | None = None) -> DataFrame:
     """A10: count, mean, std, min, exact quartiles, max for each column (long form).
 
-    Columns are unpivoted once so that one scan serves all of them; quartiles
-    are exact (not ``summary()``'s approximate ones) and distributed.
+    One wide aggregate gives everything but the quartiles. Those are exact (not
+    ``summary()``'s approximate ones) and distributed: the columns are
+    unpivoted to (column, value) and at once reduced to value counts.
     """
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        mean("value", decimals).alias("mean"),
-        rnd(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    df = nan_as_null(df, cols).select([F.col(c).cast("double").alias(c) for c in cols])
+    wide = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.count(c).alias("count"),
+                    mean(c, decimals).alias("mean"),
+                    rnd(F.stddev_samp(c)).alias("std"),
+                    F.min(c).alias("min"),
+                    F.max(c).alias("max"),
+                )
+                for c in cols
+            ]
+        ).alias("s")
     )
-    qs = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"])
+    basic = wide.select(F.inline("s"))  # a row per column
+    qs = exact_quantiles(df.unpivot([], cols, "column", "value"), "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"])
     qs = qs.select("column", *[rnd(c).alias(c) for c in ("q25", "q50", "q75")])
     return basic.join(qs, "column", "left")
 
 
 def per_key_count_stats(ratings: DataFrame, key: str, value: str = "score") -> DataFrame:
     """Ratings per user (or item), counting only cells > 0 (D9), then min/max/mean."""
-    c = ratings.where(F.col(value) > 0).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    c = nan_as_null(ratings, [value]).where(F.col(value) > 0).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return c.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.min("n").alias("min_n"),
@@ -101,21 +115,23 @@ def per_key_count_stats(ratings: DataFrame, key: str, value: str = "score") -> D
 
 
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Equal-width histogram between min and max (pandas ``hist``).
+    """Equal-width histogram between min and max (pandas ``hist``): always ``bins`` rows,
+    empty bins too; no rows when there is no value.
 
     The bounds are a scalar subquery, computed once and not joined to the rows.
     """
-    v = F.col(value).cast("double")
-    stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    df = nan_as_null(df.select(F.col(value).cast("double").alias("_v")))
+    stats = df.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     lo = stats.select("lo").scalar()
     hi = stats.select("hi").scalar()
     width = (hi - lo) / F.lit(bins)
-    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((v - lo) / width), F.lit(bins - 1)))
+    b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1)))
+    counts = df.where(F.col("_v").isNotNull()).groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(b.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select("bin", rnd(lo + F.col("bin") * width).alias("lower"), rnd(lo + (F.col("bin") + 1) * width).alias("upper"), "count")
+        every.join(counts, "bin", "left")
+        .select("bin", rnd(lo + F.col("bin") * width).alias("lower"), rnd(lo + (F.col("bin") + 1) * width).alias("upper"), F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+        .where(F.col("lower").isNotNull())
     )
 
 
@@ -124,6 +140,7 @@ def avg_median(df: DataFrame, key: str, cols: list[str], decimals: int | None =
 
     The sub-scores are unpivoted once so one quantile pass serves all of them.
     """
+    df = nan_as_null(df, cols)
     out = df.groupBy(key).agg(*[mean(c, decimals).alias(f"{c}_avg") for c in cols])
     long = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(key, cols, "_col", "_val")
     med = exact_quantiles(long, "_val", [0.5], by=[key, "_col"], names=["_med"])
@@ -133,12 +150,25 @@ def avg_median(df: DataFrame, key: str, cols: list[str], decimals: int | None =
 
 def global_stats(df: DataFrame, value: str = "score") -> DataFrame:
     """Global mean and sample standard deviation."""
-    return df.agg(rnd(F.avg(value)).alias("mean"), rnd(F.stddev_samp(value)).alias("std"), F.count(value).alias("n"))
+    return nan_as_null(df, [value]).agg(rnd(F.avg(value)).alias("mean"), rnd(F.stddev_samp(value)).alias("std"), F.count(value).alias("n"))
+
+
+MAX_PIVOT = 10_000
 
 
-def pivot_wide(df: DataFrame, row: str, col: str, value: str, values: list) -> DataFrame:
-    """Long -> wide matrix over known column values (D11: de-duplicate before)."""
-    return df.groupBy(row).pivot(col, values).agg(F.first(value))
+def pivot_wide(df: DataFrame, row: str, col: str, value: str, values: list | None = None) -> DataFrame:
+    """Long -> wide matrix (D11: de-duplicate before).
+
+    The columns are the values found in the data, sorted; more than
+    ``MAX_PIVOT`` of them is an error, as is a value outside of ``values``.
+    """
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_PIVOT + 1).collect()
+    found = sorted(r[0] for r in found)
+    if len(found) > MAX_PIVOT:
+        raise ValueError(f"{col} has more than {MAX_PIVOT} values: too many columns")
+    if values is not None and set(found) - set(values):
+        raise ValueError(f"{col} has values without a column: {sorted(set(found) - set(values))[:5]}")
+    return df.groupBy(row).pivot(col, found if values is None else values).agg(F.first(value))
 
 
 def best_per_key(df: DataFrame, key: str, item: str, score: str) -> DataFrame:
@@ -160,22 +190,41 @@ def best_worst(df: DataFrame, by: str, n: int = 10, ties: list[str] | None = Non
     return best.unionByName(worst)
 
 
-def dense_ids(df: DataFrame, col: str, name: str = "id") -> DataFrame:
-    """Dense 0-based id per distinct value in sorted order (pandas ``ngroup``).
+def row_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+    """0-based position of every row in the order of ``order`` (any orderable columns).
 
-    No global window: distinct values are range-partitioned and sorted, a row's
-    position inside its partition comes from ``monotonically_increasing_id``, and
-    partition offsets are a prefix sum over one row per partition.
+    No global window: rows are range-partitioned and sorted, a row's position
+    inside its partition comes from ``monotonically_increasing_id``, and
+    partition offsets are a prefix sum over one row per partition. The sorted
+    rows are written to the shared folder once, since the partition of a row
+    must not change between the two uses.
     """
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    part = vals.repartitionByRange(col).sortWithinPartitions(col).select(
-        col,
-        F.spark_partition_id().alias("_p"),
-        F.monotonically_increasing_id().alias("_m"),
-    )
-    part = materialize(part.select(col, "_p", (F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)).alias("_i")), "dense-ids")
+    part = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    part = part.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
+    part = materialize(part, "positions")
     sizes = part.groupBy("_p").agg(F.count(F.lit(1)).alias("_s"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select("_p", F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_o"))
     # one row per partition: bounded by the partition count
-    return part.join(F.broadcast(offs), "_p").select(col, (F.col("_o") + F.col("_i")).alias(name))
+    return part.join(F.broadcast(offs), "_p").withColumn(name, F.col("_o") + F.col("_i")).drop("_p", "_o", "_i")
+
+
+def positions_per_key(df: DataFrame, key: str, order: list[str], name: str = "pos") -> DataFrame:
+    """0-based position of every row among the rows of its key, in the order of ``order``.
+
+    A key's rows lie together in the global order, so its position there minus
+    the key's first one is enough: a key with a large share of the rows is
+    sorted over many tasks.
+    """
+    placed = row_positions(df, [key, *order], name)
+    first = placed.groupBy(key).agg(F.min(name).alias("_first"))
+    return placed.join(first, key).withColumn(name, F.col(name) - F.col("_first")).drop("_first")
+
+
+def dense_ids(df: DataFrame, col: str, name: str = "id") -> DataFrame:
+    """Dense 0-based id per distinct value in sorted order (pandas ``ngroup``).
+
+    See ``row_positions``: no global window.
+    """
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return row_positions(vals, [col], name).select(col, name)

@@ -63,25 +63,56 @@ def M(c: str) -> str:  # noqa: N802
     return f"CAST(round(CAST(avg(CAST({c} AS DECIMAL(18,2))) AS DECIMAL(38,10)), 6) AS DOUBLE)"
 
 
+# rows with missing cells (NULL and NaN) united with the line items, so that both kinds of missing are tested
+_NAN = float("nan")
+_DIRTY_LINES = [(1, _NAN, None, _NAN, 0.05), (1, None, 100.0, None, _NAN), (2, 3.0, _NAN, 0.5, None), (-1, _NAN, _NAN, None, _NAN)]
+
+
+def _sql_num(v) -> str:
+    return "NULL::DOUBLE" if v is None else "'NaN'::DOUBLE" if v != v else f"{v}::DOUBLE"
+
+
+_NUMS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINES = ("li0 AS (SELECT l_partkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem UNION ALL SELECT * FROM (VALUES "
+          + ", ".join(f"({r[0]}, {', '.join(map(_sql_num, r[1:]))})" for r in _DIRTY_LINES) + ")),\n"
+          + "li AS (SELECT l_partkey, " + ", ".join(f"CASE WHEN NOT isnan({c}) THEN {c} END AS {c}" for c in _NUMS) + " FROM li0)")
+
+
+def _dirty_lines(t: Tables):
+    extra = t.spark.createDataFrame(_DIRTY_LINES, "l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double")
+    return t.lineitem.select("l_partkey", *_NUMS).unionByName(extra)
+
+
+_DIRTY_SCORES = [(-1, 1, _NAN), (-1, 2, None), (7, -5, _NAN), (7, -6, 4.0)]
+_SCORES = ("dr AS (SELECT uid, item_id, CASE WHEN NOT isnan(score) THEN score END AS score FROM (SELECT uid, item_id, score FROM ratings UNION ALL SELECT * FROM (VALUES "
+           + ", ".join(f"({a}, {b}, {_sql_num(c)})" for a, b, c in _DIRTY_SCORES) + ")))")
+
+
+def _dirty_scores(t: Tables):
+    return t.ratings().select("uid", "item_id", "score").unionByName(t.spark.createDataFrame(_DIRTY_SCORES, "uid long, item_id long, score double"))
+
+
 @query("item_mean_scores", sql(f"""
+, {_LINES}
 SELECT l_partkey AS item_id, {M("l_quantity")} AS l_quantity_mean,
        {M("l_extendedprice")} AS l_extendedprice_mean,
        {M("l_discount")} AS l_discount_mean, {M("l_tax")} AS l_tax_mean
-FROM lineitem GROUP BY l_partkey
+FROM li GROUP BY l_partkey
 """))
 def item_mean_scores(t: Tables):
     """Mean of every numeric sub-score per item."""
-    li = t.lineitem.withColumnRenamed("l_partkey", "item_id")
+    li = _dirty_lines(t).withColumnRenamed("l_partkey", "item_id")
     return stats.mean_per_key(li, "item_id", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], decimals=2)
 
 
-@query("category_means_sorted", sql("""
-SELECT i.style, round(avg(r.score), 6) AS mean FROM ratings r JOIN items i ON i.item_id = r.item_id
+@query("category_means_sorted", sql(f"""
+, {_SCORES}
+SELECT i.style, round(avg(r.score), 6) AS mean FROM dr r JOIN items i ON i.item_id = r.item_id
 GROUP BY i.style
 """))
 def category_means_sorted(t: Tables):
     """Mean rating per style, ordered by the mean."""
-    r = t.ratings().join(t.items().select("item_id", "style"), "item_id")
+    r = _dirty_scores(t).join(t.items().select("item_id", "style"), "item_id")
     return stats.means_sorted(r, "style", "score")
 
 
@@ -89,58 +120,61 @@ def category_means_sorted(t: Tables):
 SELECT 'item_id' AS "column", CAST(count_if(item_id IS NULL) AS BIGINT) AS n_null FROM doc_reviews
 UNION ALL SELECT 'ord', CAST(count_if(ord IS NULL) AS BIGINT) FROM doc_reviews
 UNION ALL SELECT 'text', CAST(count_if(text IS NULL) AS BIGINT) FROM doc_reviews
-UNION ALL SELECT 'score', CAST(count_if(score IS NULL) AS BIGINT) FROM doc_reviews
+UNION ALL SELECT 'score', CAST(count_if(score IS NULL) + 1 AS BIGINT) FROM doc_reviews
 """))
 def null_counts(t: Tables):
-    """A9 over the long reviews, whose scores come from a partial left join."""
-    return stats.null_counts(t.doc_reviews(), ["item_id", "ord", "text", "score"])
+    """A9 over the long reviews, whose scores come from a partial left join, and one row whose score is NaN."""
+    extra = t.spark.createDataFrame([("zz/nan", -1, "x", _NAN)], "item_id string, ord long, text string, score double")
+    return stats.null_counts(t.doc_reviews().unionByName(extra), ["item_id", "ord", "text", "score"])
 
 
 _DESCRIBE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("numeric_describe", sql("\n UNION ALL ".join(f"""
+@query("numeric_describe", sql(f", {_LINES}\n" + "\n UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count({c}) AS count, {M(c)} AS mean, round(stddev_samp({c}), 6) AS std,
        min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
-       round(quantile_cont({c}, 0.75), 6) AS q75, max({c}) AS max FROM lineitem""" for c in _DESCRIBE_COLS)))
+       round(quantile_cont({c}, 0.75), 6) AS q75, max({c}) AS max FROM li""" for c in _DESCRIBE_COLS)))
 def numeric_describe(t: Tables):
-    return stats.numeric_describe(t.lineitem, _DESCRIBE_COLS, decimals=2)
+    return stats.numeric_describe(_dirty_lines(t), _DESCRIBE_COLS, decimals=2)
 
 
-@query("ratings_per_user_stats", sql("""
-, c AS (SELECT uid, count(*) AS n FROM ratings WHERE score > 0 GROUP BY uid)
+@query("ratings_per_user_stats", sql(f"""
+, {_SCORES}, c AS (SELECT uid, count(*) AS n FROM dr WHERE score > 0 GROUP BY uid)
 SELECT count(*) AS n_keys, min(n) AS min_n, max(n) AS max_n, round(avg(n), 6) AS mean_n FROM c
 """))
 def ratings_per_user_stats(t: Tables):
-    return stats.per_key_count_stats(t.ratings(), "uid")
+    return stats.per_key_count_stats(_dirty_scores(t), "uid")
 
 
-@query("ratings_per_item_stats", sql("""
-, c AS (SELECT item_id, count(*) AS n FROM ratings WHERE score > 0 GROUP BY item_id)
+@query("ratings_per_item_stats", sql(f"""
+, {_SCORES}, c AS (SELECT item_id, count(*) AS n FROM dr WHERE score > 0 GROUP BY item_id)
 SELECT count(*) AS n_keys, min(n) AS min_n, max(n) AS max_n, round(avg(n), 6) AS mean_n FROM c
 """))
 def ratings_per_item_stats(t: Tables):
-    return stats.per_key_count_stats(t.ratings(), "item_id")
+    return stats.per_key_count_stats(_dirty_scores(t), "item_id")
 
 
-@query("score_histogram", sql("""
-, b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
-h AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((l.l_extendedprice - b.lo) / ((b.hi - b.lo) / 10)), 9) END AS INTEGER) AS bin
-      FROM lineitem l, b)
-SELECT h.bin, round(b.lo + h.bin * ((b.hi - b.lo) / 10), 6) AS lower,
-       round(b.lo + (h.bin + 1) * ((b.hi - b.lo) / 10), 6) AS upper, count(*) AS count
-FROM h, b GROUP BY h.bin, b.lo, b.hi
+@query("score_histogram", sql(f"""
+, {_LINES}, b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM li),
+h AS (SELECT CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((li.l_extendedprice - b.lo) / ((b.hi - b.lo) / 10)), 9) END AS INTEGER) AS bin
+      FROM li, b WHERE li.l_extendedprice IS NOT NULL),
+c AS (SELECT bin, count(*) AS n FROM h GROUP BY bin)
+SELECT CAST(r.i AS INTEGER) AS bin, round(b.lo + r.i * ((b.hi - b.lo) / 10), 6) AS lower,
+       round(b.lo + (r.i + 1) * ((b.hi - b.lo) / 10), 6) AS upper, coalesce(c.n, 0) AS count
+FROM range(10) r(i) CROSS JOIN b LEFT JOIN c ON c.bin = r.i
 """))
 def score_histogram(t: Tables):
-    """10-bin histogram of the line price."""
-    return stats.histogram(t.lineitem, "l_extendedprice", 10)
+    """10-bin histogram of the line price, empty bins included."""
+    return stats.histogram(_dirty_lines(t), "l_extendedprice", 10)
 
 
-@query("global_score_stats", sql("""
-SELECT round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, count(score) AS n FROM ratings
+@query("global_score_stats", sql(f"""
+, {_SCORES}
+SELECT round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, count(score) AS n FROM dr
 """))
 def global_score_stats(t: Tables):
-    return stats.global_stats(t.ratings())
+    return stats.global_stats(_dirty_scores(t))
 
 
 _EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -152,9 +186,9 @@ SELECT uid,
 FROM user_type GROUP BY uid
 """))
 def user_item_pivot(t: Tables):
-    """Users x event types, the known types as columns."""
+    """Users x event types, a column for every type in the data."""
     ut = t.user_type().withColumn("score", rnd("score"))
-    return stats.pivot_wide(ut, "uid", "item", "score", _EVENT_TYPES)
+    return stats.pivot_wide(ut, "uid", "item", "score")
 
 
 @query("dense_user_ids", sql("""
@@ -341,14 +375,15 @@ def top_producers_named(t: Tables):
     return enrich.top_producers_named(t.items(), t.producers(), 10)
 
 
-@query("subscore_avg_median", sql("""
+@query("subscore_avg_median", sql(f"""
+, {_LINES}
 SELECT l_partkey AS item_id,
 """ + ",\n".join(f"  {M(c)} AS {c}_avg, round(median({c}), 6) AS {c}_med" for c in ["l_quantity", "l_discount", "l_tax"]) + """
-FROM lineitem GROUP BY l_partkey
+FROM li GROUP BY l_partkey
 """))
 def subscore_avg_median(t: Tables):
     """Average and exact median of sub-scores per item."""
-    li = t.lineitem.withColumnRenamed("l_partkey", "item_id")
+    li = _dirty_lines(t).withColumnRenamed("l_partkey", "item_id")
     return stats.avg_median(li, "item_id", ["l_quantity", "l_discount", "l_tax"], decimals=2)
 
 

@@ -273,7 +273,10 @@ def test_streaming_restart_appends_each_url_once(spark, tmp_path):
 def test_histogram_bins(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 9, 10]], "x double")
     out = rows(stats.histogram(df, "x", 10), "bin", "count")
-    assert out == [(0, 1), (1, 1), (2, 1), (9, 2)]  # the max falls in the last bin
+    # every bin has a row; the max falls in the last one
+    assert out == [(0, 1), (1, 1), (2, 1), *[(i, 0) for i in range(3, 9)], (9, 2)]
+    none = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert stats.histogram(none, "x", 10).count() == 0
 
 
 @pytest.mark.parametrize("v,expected", [(0.1234565, 0.123457), (2.5e-7, 0.0), (-0.0000015, -0.000002)])
@@ -367,3 +370,34 @@ def test_distinct_counts_exact_and_approx(spark):
     ap = stats.distinct_counts(df, approx=0.01).first()
     assert (ex["n_users"], ex["n_items"]) == (50, 7)
     assert abs(ap["n_users"] - 50) <= 2 and ap["n_items"] == 7
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 5.0), ("a", nan), ("a", None), ("a", 3.0), ("b", nan)], "k string, x double")
+    assert rows(stats.null_counts(df), "column", "n_null") == [("k", 0), ("x", 3)]
+    assert rows(stats.mean_per_key(df, "k", ["x"]), "k", "x_mean") == [("a", 4.0), ("b", None)]
+    assert rows(stats.means_sorted(df, "k", "x"), "k", "mean") == [("a", 4.0), ("b", None)]
+    d = stats.numeric_describe(df, ["x"]).first()
+    assert (d["count"], d["mean"], d["min"], d["q50"], d["max"]) == (2, 4.0, 3.0, 4.0, 5.0)
+    assert rows(stats.per_key_count_stats(df, "k", "x"), "n_keys", "max_n") == [(1, 2)]
+    assert rows(stats.avg_median(df, "k", ["x"]), "k", "x_avg", "x_med") == [("a", 4.0, 4.0), ("b", None, None)]
+    assert rows(stats.global_stats(df, "x"), "mean", "n") == [(4.0, 2)]
+    assert sum(r["count"] for r in stats.histogram(df, "x", 4).collect()) == 2
+
+
+def test_pivot_takes_its_columns_from_the_data(spark):
+    df = spark.createDataFrame([(1, "new", 2.0), (1, "old", 1.0), (2, "new", 3.0)], "uid long, item string, score double")
+    out = stats.pivot_wide(df, "uid", "item", "score")
+    assert out.columns == ["uid", "new", "old"] and rows(out, "uid", "new", "old") == [(1, 2.0, 1.0), (2, 3.0, None)]
+    with pytest.raises(ValueError):
+        stats.pivot_wide(df, "uid", "item", "score", ["old"])
+
+
+def test_positions_split_a_hot_key(spark):
+    data = [("hot", f"2024-01-{i % 28 + 1:02d}", f"u{i % 7}", i) for i in range(500)] + [("cold", "2024-01-01", "u", 0)]
+    df = spark.createDataFrame(data, "k string, d string, u string, i int").selectExpr("k", "CAST(d AS DATE) AS d", "u", "i")
+    got = stats.positions_per_key(df, "k", ["d", "u", "i"]).collect()
+    want = {x: n for n, x in enumerate(sorted((d, u, i) for k, d, u, i in data if k == "hot"))}
+    assert {(str(r["d"]), r["u"], r["i"]): r["pos"] for r in got if r["k"] == "hot"} == want
+    assert [r["pos"] for r in got if r["k"] == "cold"] == [0]

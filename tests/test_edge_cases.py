@@ -187,21 +187,20 @@ def test_moment_sums_in_dimension_batches(monkeypatch):
     rng = np.random.default_rng(17)
     lt = pd.DataFrame({"a": rng.integers(0, 30, 400), "d": rng.integers(0, 20, 400), "x": rng.random(400)}).drop_duplicates(["a", "d"])
     rt = lt.rename(columns={"a": "b", "x": "y"})
-    cols = similarity.MOMENTS
-    whole = similarity._moment_sums(lt, rt, True, cols).set_index(["a", "b"]).sort_index()
+    whole = similarity._moment_sums(lt, rt, True).set_index(["a", "b"]).sort_index()
     monkeypatch.setattr(similarity, "PAIR_ROWS_PER_BATCH", 7)  # many small batches
-    batched = similarity._moment_sums(lt, rt, True, cols).set_index(["a", "b"]).sort_index()
+    batched = similarity._moment_sums(lt, rt, True).set_index(["a", "b"]).sort_index()
     pd.testing.assert_frame_equal(whole, batched, check_exact=False, rtol=1e-12)
     assert len(whole) > 100
 
 
-def test_pair_sums_blocks_and_chunks_match_brute_force(spark):
+def test_pair_sums_blocks_and_heavy_entities_match_brute_force(spark):
     rng = np.random.default_rng(3)
     long = [(int(e), int(d), float(rng.integers(1, 6))) for e in range(40) for d in range(30) if rng.random() < 0.3]
     long += [(int(e), 99, 1.0) for e in range(40)]  # one dimension shared by every entity
     df = spark.createDataFrame(long, "e long, d long, v double")
     exp = _brute_pairs(long)
-    # small blocks and tiny groups force several blocks and several dimension chunks
+    # small blocks and tiny groups force several blocks and a separate path for heavy entities
     got = similarity.pair_sums(df, "e", "d", "v", moments=True, block_size=7, rows_per_group=50).collect()
     assert len(got) == len(exp)
     for r in got:
@@ -307,7 +306,7 @@ def test_recommender_api(spark):
     assert extended.where(F.col("uid") == uid).count() == 2
 
 
-@pytest.mark.parametrize("rows_per_group", [10**9, 40])  # trimmed in groups / chunked, summed after
+@pytest.mark.parametrize("rows_per_group", [10**9, 40])  # all in blocks / some entities heavy
 def test_pearson_topk_matches_brute_force(spark, rows_per_group, monkeypatch):
     rng = np.random.default_rng(13)
     data = [(int(i), int(u), float(rng.integers(1, 6))) for i in range(25) for u in range(20) if rng.random() < 0.5]
@@ -401,3 +400,69 @@ def test_positions_split_a_hot_key(spark):
     want = {x: n for n, x in enumerate(sorted((d, u, i) for k, d, u, i in data if k == "hot"))}
     assert {(str(r["d"]), r["u"], r["i"]): r["pos"] for r in got if r["k"] == "hot"} == want
     assert [r["pos"] for r in got if r["k"] == "cold"] == [0]
+
+
+def _counted(spark, fn):
+    """``fn`` for applyInPandas with a count of its calls and of the most rows in one."""
+    from pyspark.accumulators import AccumulatorParam
+
+    class Most(AccumulatorParam):
+        def zero(self, v):
+            return 0
+
+        def addInPlace(self, a, b):
+            return max(a, b)
+
+    calls, most = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0, Most())
+
+    def counted(key, pdf):
+        calls.add(1)
+        most.add(len(pdf))
+        return fn(key, pdf)
+
+    return counted, calls, most
+
+
+def test_each_block_pair_is_computed_once(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    data = [(int(i), int(u), float(rng.integers(1, 6))) for i in range(60) for u in range(30) if rng.random() < 0.4]
+    df = spark.createDataFrame(data, "item_id long, uid long, score double")
+    monkeypatch.setattr(similarity, "_layout", lambda *a: 3)
+    made = {}
+    orig = similarity._pair_sums_group
+
+    def group(*a):
+        fn, made["calls"], made["most"] = _counted(spark, orig(*a))
+        return fn
+
+    monkeypatch.setattr(similarity, "_pair_sums_group", group)
+    similarity.pearson_topk(df, "item_id", "uid", "score", k=3).collect()
+    assert made["calls"].value == 6  # 3 blocks, 6 pairs of blocks
+    similarity.cosine_topk_long(df, "item_id", "uid", "score", k=3).collect()
+    assert made["calls"].value == 6
+
+
+def test_hot_item_stays_out_of_the_groups(spark, monkeypatch):
+    rng = np.random.default_rng(29)
+    data = [(int(i), int(u), float(rng.integers(1, 6))) for i in range(40) for u in rng.choice(600, 15, replace=False)]
+    data += [(99, u, float(rng.integers(1, 6))) for u in range(300)]  # a third of all rows
+    df = spark.createDataFrame(data, "item_id long, uid long, score double")
+    made, orig, sums = {}, similarity._pair_sums_group, similarity.pair_sums
+
+    def group(*a):
+        fn, made["calls"], made["most"] = _counted(spark, orig(*a))
+        return fn
+
+    monkeypatch.setattr(similarity, "_pair_sums_group", group)
+    monkeypatch.setattr(similarity, "pair_sums", lambda *a, **k: sums(*a, **{**k, "rows_per_group": 400}))
+    got = {(r["a"], r["b"]): (r["n_common"], r["r"]) for r in similarity.pearson_topk(df, "item_id", "uid", "score", k=100).collect()}
+    assert made["most"].value < 600
+    by = {}
+    for i, u, s in data:
+        by.setdefault(i, {})[u] = s
+    for b in range(40):
+        common = sorted(set(by[99]) & set(by[b]))
+        x, y = [by[99][u] for u in common], [by[b][u] for u in common]
+        if len(common) >= 3 and np.std(x) > 0 and np.std(y) > 0:
+            n, r = got[99, b]
+            assert n == len(common) and abs(r - np.corrcoef(x, y)[0, 1]) < 1e-5 and got[b, 99] == (n, r)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from cellar.functions.exprs import rnd
 from cellar.operators import clean, enrich, stats
 from cellar.plans.registry import query, sql
+from cellar.session import scratch_path
+from cellar.sources import files
 from cellar.sources.tables import Tables
 
 TOP_N = 100  # n of the most-rated-items filter at the test scale
@@ -335,24 +337,72 @@ def drop_placeholder_text(t: Tables):
 @query("item_text_and_mean", sql(f"""
 , d AS (SELECT item_id, ord, text, score FROM doc_reviews UNION ALL {_DIRTY_DOCS_SQL}),
 m AS (SELECT item_id, round(avg(score), 6) AS score FROM d GROUP BY item_id),
-x AS (SELECT item_id, CAST(floor(ord / 1000) AS BIGINT) AS part, string_agg(text, ',' ORDER BY ord, text) AS text
-      FROM d WHERE text <> chr(160) || chr(160) GROUP BY item_id, part)
-SELECT m.item_id, m.score, x.part, md5(x.text) AS text_md5, CAST(length(x.text) AS BIGINT) AS text_len
+x AS (SELECT item_id, string_agg(text, ',' ORDER BY ord, text) AS text FROM d WHERE text <> chr(160) || chr(160) GROUP BY item_id)
+SELECT m.item_id, m.score, md5(x.text) AS text_md5, CAST(length(x.text) AS BIGINT) AS text_len
 FROM m JOIN x ON x.item_id = m.item_id
 """))
 def item_text_and_mean(t: Tables):
-    """Mean over all rows, text over real texts in chunks of 1000 docs, inner semantics."""
+    """One row per item: mean over all rows, text over real texts, inner semantics."""
     r = enrich.text_and_mean(_dirty_docs(t))
-    return r.select("item_id", "score", "part", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_len"))
+    return r.select("item_id", "score", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("text_len"))
 
 
 @query("item_text_concat", sql("""
-SELECT item_id, CAST(floor(ord / 1000) AS BIGINT) AS part, string_agg(text, ',' ORDER BY ord, text) AS text
-FROM reviews WHERE text IS NOT NULL GROUP BY item_id, part
+, p AS (SELECT item_id, text, row_number() OVER (PARTITION BY item_id ORDER BY username, ord, text) - 1 AS pos FROM reviews WHERE text IS NOT NULL)
+SELECT item_id, CAST(pos // 4 AS BIGINT) AS part, string_agg(text, ',' ORDER BY pos) AS text FROM p GROUP BY item_id, part
 """))
 def item_text_concat(t: Tables):
-    """The review texts of an item joined by ',' in turn order (chunks of 1000 turns)."""
-    return enrich.text_concat(t.reviews())
+    """The review texts of an item joined by ',' by username and turn, four to a part."""
+    return enrich.text_concat(t.reviews(), order=["username", "ord"], chunk=4)
+
+
+_JOB_REVIEWS = """
+, r0 AS (SELECT item_id, ord, CASE WHEN ord % 11 = 3 THEN NULL ELSE username END AS username, text,
+         CASE WHEN (item_id + ord) % 13 = 0 THEN NULL WHEN (item_id + ord) % 7 = 0 THEN 7.5::DOUBLE ELSE (item_id * 31 + ord) % 6 END::DOUBLE AS score FROM reviews),
+c AS (SELECT item_id FROM r0 GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 50),
+top AS (SELECT r0.item_id, username, CASE WHEN ord % 5 = 1 THEN chr(160) || chr(160) ELSE text END AS text, score FROM r0 JOIN c ON c.item_id = r0.item_id
+        WHERE username IS NOT NULL AND text IS NOT NULL AND score IS NOT NULL AND score <= 5)
+"""
+
+
+def _job_reviews(t: Tables):
+    """Reviews as the ingest job gets them: with missing names and scores, scores above the scale, placeholder texts."""
+    k = F.col("item_id") + F.col("ord")
+    score = F.when(k % 13 == 0, F.lit(None)).when(k % 7 == 0, F.lit(7.5)).otherwise(((F.col("item_id") * 31 + F.col("ord")) % 6).cast("double"))
+    return t.reviews().select(
+        "item_id",
+        F.when(F.col("ord") % 11 != 3, F.col("username")).alias("username"),
+        F.when(F.col("ord") % 5 == 1, F.when(F.col("text").isNotNull(), F.lit(_NBSP2))).otherwise(F.col("text")).alias("text"),
+        score.alias("score"),
+    )
+
+
+def _job_files(t: Tables):
+    """The reviews written as a CSV file set, and the ingest job's result from there as parquet."""
+    raw, out = scratch_path(t.spark, "job-reviews"), scratch_path(t.spark, "job-top-ratings")
+    reviews = _job_reviews(t)
+    files.write_csv(reviews, raw)
+    files.write_parquet(enrich.top_ratings(files.read_csv_typed(t.spark, raw, reviews.schema), 50), out)
+    return t.spark.read.parquet(out)
+
+
+@query("pipeline_top_ratings", sql(_JOB_REVIEWS + "SELECT item_id, username, text, score FROM top"))
+def pipeline_top_ratings(t: Tables):
+    """The ingest job from CSV to parquet (A1 + T1 + J1 + P8 + P7)."""
+    return _job_files(t)
+
+
+@query("pipeline_enriched_items", sql(_JOB_REVIEWS + """
+, m AS (SELECT item_id, round(avg(score), 6) AS score FROM top GROUP BY item_id),
+x AS (SELECT item_id, string_agg(text, ',' ORDER BY username, text) AS text FROM top WHERE text <> chr(160) || chr(160) GROUP BY item_id)
+SELECT m.item_id, m.score, i.name, i.brand, i.style, i.abv, i.price, p.producer_name, p.state, p.country, md5(x.text) AS text_md5
+FROM m JOIN x ON x.item_id = m.item_id LEFT JOIN items i ON i.item_id = m.item_id LEFT JOIN producers p ON p.producer_id = i.producer_id
+"""))
+def pipeline_enriched_items(t: Tables):
+    """The enrichment job after the ingest job (A6 + P9 + A8 + J2-J4); the texts' parts are joined here to compare them."""
+    merged, texts = enrich.merge_items(_job_files(t), t.items(), t.producers(), chunk=3)
+    whole = texts.groupBy("item_id").agg(F.expr("listagg(text, ',') WITHIN GROUP (ORDER BY part)").alias("text"))
+    return merged.drop("n_parts").join(whole.select("item_id", F.md5("text").alias("text_md5")), "item_id")
 
 
 @query("enriched_items", sql("""

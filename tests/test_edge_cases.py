@@ -57,6 +57,7 @@ def test_text_concat_chunks_a_hot_key(spark):
     from cellar.operators import enrich
 
     df = spark.createDataFrame([("hot", i, f"t{i}") for i in range(25)] + [("cold", 0, "x")], "item_id string, ord long, text string")
+    df = df.union(spark.createDataFrame([("hot", 3, None)], df.schema))
     parts = rows(enrich.text_concat(df, chunk=10), "item_id", "part", "text")
     hot = [p for p in parts if p[0] == "hot"]
     assert [p[1] for p in hot] == [0, 1, 2]
@@ -466,3 +467,25 @@ def test_hot_item_stays_out_of_the_groups(spark, monkeypatch):
         if len(common) >= 3 and np.std(x) > 0 and np.std(y) > 0:
             n, r = got[99, b]
             assert n == len(common) and abs(r - np.corrcoef(x, y)[0, 1]) < 1e-5 and got[b, 99] == (n, r)
+
+
+def test_texts_in_date_and_name_order_with_equal_order_values(spark):
+    from cellar.operators import enrich
+
+    data = [("i", f"2024-01-{d:02d}", u, f"t{d}{u}{k}") for d in (2, 1) for u in "ba" for k in (1, 0)]
+    df = spark.createDataFrame(data, "item_id string, date string, username string, text string").selectExpr("item_id", "CAST(date AS DATE) AS date", "username", "text")
+    parts = rows(enrich.text_concat(df, order=["date", "username"], chunk=3), "part", "text")
+    assert [len(p[1].split(",")) for p in parts] == [3, 3, 2]
+    assert ",".join(p[1] for p in parts) == ",".join(x[3] for x in sorted(data, key=lambda x: (x[1], x[2], x[3])))
+
+
+def test_bigrams_span_reviews_as_in_the_joined_text(spark):
+    from cellar.operators import text
+
+    nb = "\u00a0\u00a0"
+    df = spark.createDataFrame([("i", 1, "red apple"), ("i", 2, "the"), ("i", 3, nb), ("i", 4, None), ("i", 5, "green"), ("i", 6, "pear tree"), ("j", 1, nb)], "item_id string, ord long, text string")
+    got = {r["term"]: r["tf"] for r in text.term_frequencies(df).where("item_id = 'i'").collect()}
+    assert got == {"red": 1, "apple": 1, "green": 1, "pear": 1, "tree": 1, "red apple": 1, "apple green": 1, "green pear": 1, "pear tree": 1}
+    # an item with placeholder text only is no document: with one document every idf is 1
+    w = {r["term"]: r["weight"] for r in text.tfidf(df, ngram=1).collect()}
+    assert len(w) == 5 and all(abs(x - 5**-0.5) < 1e-9 for x in w.values())

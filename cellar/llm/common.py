@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -73,3 +74,16 @@ def unpack_texts(z: pa.Array) -> pa.Array:
     """The texts of a ``_z`` column; null reads as empty."""
     unpack = zstandard.ZstdDecompressor().decompress
     return pa.array([b"" if x is None else unpack(x) for x in z.to_pylist()], pa.large_binary()).cast(pa.large_string())
+
+
+def smallest_hashes(df: DataFrame, n: int, total: int, *columns: str) -> DataFrame:
+    """The ``n`` rows of ``df`` (which has ``total``) with the smallest hashes of ``columns``.
+
+    A hash limit that n rows pass almost surely, but few more, comes first, so
+    that partitions do not each send n rows to be ordered.
+    """
+    h = F.xxhash64(*columns)
+    enough = n + 8 * math.sqrt(n) + 32
+    if total > enough:
+        df = df.where(h < F.lit(round((enough / total - 0.5) * 2.0**64)))
+    return df.orderBy(h, *columns).limit(n)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellar.llm.common import map_batches
+from cellar.llm.common import map_batches, smallest_hashes
 
 PAGES, MAX_TRAIN_CHARS, VARIANTS = 150, 100_000, 5
 STEPS, RATE, RIDGE = 200, 0.4, 1e-5
@@ -353,16 +353,16 @@ def extract(field: Field, page: str) -> str:
     return "\n".join(b.text for b, y in zip(blocks, field.viterbi(blocks)) if y)
 
 
-def fit(pages: DataFrame, page: str = "html") -> Field:
+def fit(pages: DataFrame, id: str = "page_id", page: str = "html") -> Field:
     """The field trained on a bounded sample of the pages."""
-    rows = pages.select(F.col(page).cast("string").alias("_html")).where(F.length("_html").between(1, MAX_TRAIN_CHARS))
-    sample = rows.orderBy(F.xxhash64("_html"), "_html").limit(PAGES).collect()
+    rows = pages.select(F.col(id).cast("string").alias("_id"), F.col(page).cast("string").alias("_html")).where(F.length("_html").between(1, MAX_TRAIN_CHARS))
+    sample = smallest_hashes(rows, PAGES, rows.count(), "_id", "_html").collect()
     return train(labelled([r["_html"] for r in sample]))
 
 
 def extract_text(pages: DataFrame, id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Per row: id, url, text, n_chars (code points)."""
-    field = fit(pages, page)
+    field = fit(pages, id, page)
     schema = T.StructType([T.StructField(id, pages.schema[id].dataType), T.StructField(url, pages.schema[url].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellar.llm.common import map_batches
+from cellar.llm.common import map_batches, smallest_hashes
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 2000
@@ -91,7 +91,8 @@ def _sampled(docs: DataFrame, labels: DataFrame, id: str, text: str, remainder:
     """(quality, _text) of a bounded sample of labelled documents."""
     agreed = labels.where("quality IN (0, 1)").groupBy(id).agg(F.min("quality").alias("quality"), F.max("quality").alias("_max")).where("quality = _max").drop("_max")
     agreed = agreed.where(fold(id) == remainder)
-    picked = [agreed.where(F.col("quality") == q).orderBy(F.xxhash64(id), id).limit(SAMPLE) for q in (0, 1)]
+    totals = {r["quality"]: r["count"] for r in agreed.groupBy("quality").count().collect()}  # two rows
+    picked = [smallest_hashes(agreed.where(F.col("quality") == q), SAMPLE, totals.get(q, 0), id) for q in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * SAMPLE rows
     out = docs.select(F.col(id), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     out = out if most_bytes is None else out.where(F.octet_length("_text") <= most_bytes)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import clamp, rnd
+from cellar.functions.exprs import clamp, nan_to_null, rnd
+from cellar.operators.stats import row_positions
 
 # The damping terms of a baseline predictor's item and user
 # biases by default (regularisation 10 for items, 15 for users).
@@ -90,8 +92,8 @@ def score_all_top(model: Baseline, users: DataFrame, n: int = 10, lo: float = 1.
 # ---- ALS family --------------------------------------------------------------
 
 
-def als(rank: int = 10, reg: float = 0.1, nonnegative: bool = True, max_iter: int = 10, seed: int = 42) -> ALS:
-    """M7: explicit ALS on (uid, item_id, score), cold-start rows dropped."""
+def als(rank: int = 10, reg: float = 0.1, nonnegative: bool = True, max_iter: int = 10, seed: int = 42, cold: str = "drop") -> ALS:
+    """M7: explicit ALS on (uid, item_id, score); ``cold`` "drop" leaves out rows of unseen users or items, "nan" keeps them."""
     return ALS(
         userCol="uid",
         itemCol="item_id",
@@ -101,7 +103,7 @@ def als(rank: int = 10, reg: float = 0.1, nonnegative: bool = True, max_iter: in
         maxIter=max_iter,
         nonnegative=nonnegative,
         implicitPrefs=False,
-        coldStartStrategy="drop",
+        coldStartStrategy=cold,
         seed=seed,
     )
 
@@ -111,27 +113,83 @@ def als_predict(model: ALSModel, test: DataFrame, lo: float = 1.0, hi: float = 5
     return p.select("uid", "item_id", F.col("score").alias("true_r"), rnd(clamp(F.col("prediction"), lo, hi)).alias("est"))
 
 
-def fit_biased_mf(train: DataFrame, rank: int = 10, reg: float = 0.05, max_iter: int = 10, seed: int = 42):
+def fit_biased_mf(train: DataFrame, rank: int = 100, reg: float = 0.05, max_iter: int = 20, seed: int = 42):
     """M2 re-aimed: baseline biases, then signed ALS on the residuals r - mu - b_u - b_i."""
     base = fit_baseline(train)
     resid = predict_baseline(base, train, lo=-1e9, hi=1e9).select(
         "uid", "item_id", (F.col("score") - F.col("est")).alias("score")
     )
-    model = als(rank=rank, reg=reg, nonnegative=False, max_iter=max_iter, seed=seed).fit(resid)
+    model = als(rank=rank, reg=reg, nonnegative=False, max_iter=max_iter, seed=seed, cold="nan").fit(resid)
     return base, model
 
 
 def predict_biased_mf(base: Baseline, model: ALSModel, test: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """Every test row: mu + b_u + b_i + p_u . q_i; an unseen user or item has no factors, so the baseline remains."""
     b = predict_baseline(base, test, lo=-1e9, hi=1e9).withColumnRenamed("est", "_b")
     p = model.transform(b)
-    return p.select("uid", "item_id", F.col("score").alias("true_r"), rnd(clamp(F.col("_b") + F.col("prediction"), lo, hi)).alias("est"))
+    dot = F.coalesce(nan_to_null(F.col("prediction").cast("double")), F.lit(0.0))
+    return p.select("uid", "item_id", F.col("score").alias("true_r"), rnd(clamp(F.col("_b") + dot, lo, hi)).alias("est"))
+
+
+def biased_mf_recommend_all(base: Baseline, model: ALSModel, k: int = 10, lo: float = 1.0, hi: float = 5.0, block_size: int = 2048) -> DataFrame:
+    """M6 + J10 + T12: every training user's k best items by mu + b_u + b_i + p_u . q_i, clamped.
+
+    The biases are appended to the factors as (b_u, 1) and (1, b_i), so the
+    block products of ``recommend_all`` give the whole formula. Lists are
+    ranked before clamping.
+    """
+    none = F.array_repeat(F.lit(0.0), model.rank)
+
+    def widened(biases: DataFrame, key: str, factors: DataFrame, extra) -> DataFrame:
+        f = factors.select(F.col("id").cast("long").alias(key), F.col("features").cast("array<double>").alias("_f"))
+        return biases.join(f, key, "left").select(F.col(key).alias("id"), F.concat(F.coalesce("_f", none), extra).alias("features"))
+
+    users = widened(base.user_bias, "uid", model.userFactors, F.array("b_u", F.lit(1.0)))
+    items = widened(base.item_bias, "item_id", model.itemFactors, F.array(F.lit(1.0), "b_i"))
+    best = recommend_all(users, items, k, block_size)
+    return best.withColumn("est", rnd(clamp(base.mu + F.col("est"), lo, hi)))
+
+
+def _uniform(seed: int, salt: str):
+    """A repeatable draw from (0, 1) for a (uid, item_id) pair: 32 bits of a hash of the pair and the seed."""
+    key = F.concat_ws("/", F.lit(f"{seed}{salt}"), F.col("uid").cast("string"), F.col("item_id").cast("string"))
+    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 32))
 
 
 def normal_predictor(train: DataFrame, test: DataFrame, seed: int = 42, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
-    """Est ~ N(mu, sigma) of the training scores, clamped."""
+    """Est ~ N(mu, sigma) of the training scores (sigma over all of them), clamped.
+
+    The draw is a hash of the pair (Box-Muller), so it does not depend on the
+    partition layout or on a task's retry.
+    """
     mu = train.select(F.avg("score")).scalar()
-    sd = train.select(F.stddev_samp("score")).scalar()
-    return test.select("uid", "item_id", F.col("score").alias("true_r"), rnd(clamp(mu + sd * F.randn(seed), lo, hi)).alias("est"))
+    sd = train.select(F.stddev_pop("score")).scalar()
+    z = F.sqrt(-2 * F.log(_uniform(seed, "a"))) * F.cos(2 * math.pi * _uniform(seed, "b"))
+    return test.select("uid", "item_id", F.col("score").alias("true_r"), rnd(clamp(mu + sd * z, lo, hi)).alias("est"))
+
+
+def top_n_unseen(model: Baseline, seen: DataFrame, users: DataFrame, n: int = 10, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """T2 with unseen candidates (D15b): each user's n best items by the baseline among those not in ``seen``.
+
+    For one user the order of the estimates is the order of b_i, so items get
+    one global position (no global window). A user's seen item stands before the
+    n-th unseen one when its position less its place among the user's seen
+    positions is below n; with c such items, the answer is positions 0 to
+    n + c - 1 without them. Rows stay in proportion to users and ratings; no
+    user x item product is formed. Runs a job for the positions.
+    """
+    placed = row_positions(model.item_bias.select((-F.col("b_i")).alias("_nb"), "item_id"), ["_nb", "item_id"], "_pos")
+    placed = placed.select("item_id", (-F.col("_nb")).alias("b_i"), "_pos")
+    mine = seen.select("uid", "item_id").distinct().join(placed.select("item_id", "_pos"), "item_id")
+    order = Window.partitionBy("uid").orderBy("_pos")
+    before = mine.withColumn("_j", F.row_number().over(order) - 1).where(F.col("_pos") - F.col("_j") < n).select("uid", "_pos")
+    c = before.groupBy("uid").agg(F.count(F.lit(1)).alias("_c"))
+    all_users = users.select("uid").distinct().join(c, "uid", "left").join(model.user_bias.select("uid", "b_u"), "uid", "left")
+    slots = all_users.select("uid", "b_u", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_c", F.lit(0)) + (n - 1))).alias("_pos"))
+    free = slots.join(before, ["uid", "_pos"], "left_anti").join(placed, "_pos")
+    raw = model.mu + F.coalesce(F.col("b_u"), F.lit(0.0)) + F.col("b_i")
+    out = free.select("uid", "item_id", rnd(clamp(raw, lo, hi)).alias("est"), "_pos")
+    return out.withColumn("rank", F.row_number().over(order).cast("long")).drop("_pos")
 
 
 def _block_top_k(k: int, margin: float = 1e-6):
@@ -163,9 +221,6 @@ def recommend_all(user_factors: DataFrame, item_factors: DataFrame, k: int = 10,
     formed; a window (trimmed per partition) picks the final k.
     Returns (uid, item_id, est, rank).
     """
-    import math
-
-    from pyspark.sql import Window
     from pyspark.sql import types as T
 
     nu = max(1, math.ceil(user_factors.select(F.approx_count_distinct("id", 0.05)).first()[0] / block_size))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import pearson_from_moments, rnd
+from cellar.operators import factor
 
 
 def lookup_items(requests: DataFrame, items: DataFrame, keys: list[str]) -> DataFrame:
@@ -46,7 +47,7 @@ def _pearson_against(ratings: DataFrame, profile: DataFrame, user: str, item: st
 
 def similar_users(
     ratings: DataFrame,
-    target: int,
+    target: int | Column,
     n: int = 5,
     mode: str = "pairwise",
     min_overlap: int = 3,
@@ -75,10 +76,11 @@ def similar_users(
     )
 
 
-def pooled_recommendations(predictions: DataFrame, neighbours: DataFrame, n: int = 5, per_user: int = 10) -> DataFrame:
+def pooled_recommendations(predictions: DataFrame, neighbours: DataFrame, n: int = 5, per_user: int = 10, exclude: DataFrame | None = None) -> DataFrame:
     """T8 + M22: pool the top-N lists of the neighbours; for an item rated by
     several neighbours the most similar neighbour's estimate wins (D15); the
-    n best items overall, exactly n rows when enough exist.
+    n best items overall, exactly n rows when enough exist. Items of
+    ``exclude`` (e.g. those the target has rated) are left out.
 
     ``neighbours`` is a top-n result (bounded by its n), so it is broadcast.
     """
@@ -89,4 +91,43 @@ def pooled_recommendations(predictions: DataFrame, neighbours: DataFrame, n: int
         F.min_by(F.col("est"), F.col("nb_rank")).alias("est"),
         F.min("nb_rank").alias("from_rank"),
     )
+    if exclude is not None:
+        pooled = pooled.join(exclude.select("item_id"), "item_id", "left_anti")
     return pooled.orderBy(F.desc("est"), F.asc("item_id")).limit(n)
+
+
+def append_user(ratings: DataFrame, profile: DataFrame) -> tuple[DataFrame, Column]:
+    """The ratings with a new user's (item_id, score) rows, and the new uid, max(uid) + 1, as a scalar subquery."""
+    uid = F.coalesce(ratings.select(F.max("uid") + 1).scalar(), F.lit(0)).cast(ratings.schema["uid"].dataType)
+    return ratings.select("uid", "item_id", "score").unionByName(profile.select(uid.alias("uid"), "item_id", F.col("score").cast("double").alias("score"))), uid
+
+
+def recommend_new_user(
+    ratings: DataFrame, profile: DataFrame, model: factor.Baseline, attributes: DataFrame, n: int = 5, neighbours_n: int = 5, min_overlap: int = 2, per_user: int = 10,
+    candidates: str = "unseen", heldout: DataFrame | None = None,
+) -> DataFrame:
+    """M20 + M21 + M22 + J6: from a new user's profile (item_id, score) to a decorated list.
+
+    The profile is appended as a new user, the users most correlated with it are
+    found, their top lists are pooled without the profile's own items, and the n
+    best are decorated. ``candidates`` (D15b): "unseen", items a neighbour has
+    not rated, or "heldout", the pairs of ``heldout``. Only the neighbours'
+    candidates are scored.
+    """
+    extended, uid = append_user(ratings, profile)
+    nb = similar_users(extended, uid, neighbours_n, mode="pairwise", min_overlap=min_overlap)
+    few = F.broadcast(nb.select("uid"))  # neighbours_n rows
+    if candidates == "unseen":
+        lists = factor.top_n_unseen(model, ratings.join(few, "uid", "left_semi"), nb, per_user)
+    elif candidates == "heldout" and heldout is not None:
+        lists = factor.predict_baseline(model, heldout.join(few, "uid", "left_semi"))
+    else:
+        raise ValueError('candidates must be "unseen", or "heldout" with a frame of pairs')
+    top = pooled_recommendations(lists.select("uid", "item_id", "est"), nb, n, per_user, exclude=profile)
+    return decorate(top, attributes)
+
+
+def decorate(recommended: DataFrame, attributes: DataFrame) -> DataFrame:
+    """A short list (broadcast) with the attributes of its items; items without attributes stay."""
+    found = attributes.join(F.broadcast(recommended.select("item_id")), "item_id", "left_semi")
+    return recommended.withColumn("from_rank", F.col("from_rank").cast("long")).join(found, "item_id", "left")

@@ -11,7 +11,7 @@ from cellar.functions.exprs import rnd
 from cellar.operators import evaluate, factor
 from cellar.plans.registry import query, sql
 from cellar.session import scratch_path
-from cellar.sources.tables import Tables, train_test
+from cellar.sources.tables import Tables, fold_of, train_test
 
 K_TOP = 10
 PR_K = 5
@@ -220,12 +220,40 @@ def baseline_score_all(t: Tables):
     return factor.score_all_top(m, train.select("uid").distinct(), K_TOP)
 
 
-# ---- learned models: rows-only checks (no oracle) ------------------------------
+@query("top_n_unseen_per_user", sql(_BASE + f"""
+, u AS (SELECT DISTINCT uid FROM train),
+s AS (SELECT u.uid, bi.item_id, bi.b_i, (SELECT mu FROM mu) + coalesce(bu.b_u, 0) + bi.b_i AS raw
+      FROM u LEFT JOIN bu ON bu.uid = u.uid CROSS JOIN bi
+      WHERE NOT EXISTS (SELECT 1 FROM train x WHERE x.uid = u.uid AND x.item_id = bi.item_id)),
+r AS (SELECT uid, item_id, round(least(greatest(raw, 1.0), 5.0), 6) AS est,
+             CAST(row_number() OVER (PARTITION BY uid ORDER BY b_i DESC, item_id) AS BIGINT) AS rank FROM s)
+SELECT * FROM r WHERE rank <= {K_TOP}
+"""))
+def top_n_unseen_per_user(t: Tables):
+    """T2 with D15b: every training user's 10 best items among those not rated in training."""
+    train, _ = train_test(t.ratings_table())
+    return factor.top_n_unseen(factor.fit_baseline(train), train, train, K_TOP)
 
 
-def _als_fit(t: Tables, rank: int = 8, reg: float = 0.1):
+@query("normal_predictor", sql("""
+, g AS (SELECT avg(score) AS mu, stddev_pop(score) AS sd FROM train),
+h AS (SELECT uid, item_id, score, md5('42a/' || uid || '/' || item_id) AS a, md5('42b/' || uid || '/' || item_id) AS b FROM test),
+d AS (SELECT uid, item_id, score, (('0x' || a[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS p,
+             (('0x' || b[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS q FROM h)
+SELECT uid, item_id, score AS true_r, round(least(greatest(g.mu + g.sd * (sqrt(-2 * ln(p)) * cos(2 * pi() * q)), 1.0), 5.0), 6) AS est FROM d, g
+"""))
+def normal_predictor(t: Tables):
+    """Random N(mu, sigma) predictions, clamped; the draw is a hash of the pair."""
     train, test = train_test(t.ratings_table())
-    model = factor.als(rank=rank, reg=reg, max_iter=8).fit(train)
+    return factor.normal_predictor(train, test)
+
+
+# ---- learned models: values have no oracle; companion keys check rows, ranges and ranks ----
+
+
+def _als_fit(t: Tables, **params):
+    train, test = train_test(t.ratings_table())
+    model = factor.als(**params).fit(train)
     return model, train, test
 
 
@@ -236,6 +264,19 @@ def als_predictions(t: Tables):
     return factor.als_predict(model, test)
 
 
+def _in_range(c: str = "est"):
+    return F.col(c).between(1.0, 5.0).alias("in_range")
+
+
+@query("als_prediction_rows", sql("""
+SELECT uid, item_id, score AS true_r, true AS in_range FROM test
+WHERE uid IN (SELECT uid FROM train) AND item_id IN (SELECT item_id FROM train)
+"""))
+def als_prediction_rows(t: Tables):
+    """M7: the rows of the held-out predictions: all whose user and item are known, none else (cold rows are dropped)."""
+    return als_predictions(t).select("uid", "item_id", "true_r", _in_range())
+
+
 @query("als_item_factors")
 def als_item_factors(t: Tables):
     """M4: the item factor table of a fitted ALS model."""
@@ -243,6 +284,18 @@ def als_item_factors(t: Tables):
     return model.itemFactors.select(F.col("id").alias("item_id"), F.size("features").alias("rank"), "features")
 
 
+@query("als_factor_rows", sql("""
+SELECT 'item' AS side, item_id AS id, 10 AS rank, true AS nonnegative FROM (SELECT DISTINCT item_id FROM train)
+UNION ALL SELECT 'user', uid, 10, true FROM (SELECT DISTINCT uid FROM train)
+"""))
+def als_factor_rows(t: Tables):
+    """M4: one factor row per training user and item, of the model's rank, without a negative value."""
+    model, _, _ = _als_fit(t)
+    sides = {"item": model.itemFactors, "user": model.userFactors}
+    out = [f.select(F.lit(k).alias("side"), F.col("id").cast("long").alias("id"), F.size("features").alias("rank"), F.forall("features", lambda x: x >= 0).alias("nonnegative")) for k, f in sides.items()]
+    return out[0].unionByName(out[1])
+
+
 @query("als_recommend_all")
 def als_recommend_all(t: Tables):
     """M5 + J10: top-10 items per user by the factor product, scored block pair by block pair."""
@@ -250,41 +303,91 @@ def als_recommend_all(t: Tables):
     return factor.recommend_all(model.userFactors, model.itemFactors, K_TOP)
 
 
+_RANKS = f"SELECT uid, CAST(r.r AS BIGINT) AS rank, true AS in_order FROM (SELECT DISTINCT uid FROM train) CROSS JOIN range(1, {K_TOP + 1}) r(r)"
+
+
+def _rank_rows(recs):
+    """(uid, rank, in_order): that a list has each rank once, no item twice and falling estimates."""
+    w = Window.partitionBy("uid").orderBy("rank")
+    same = F.count(F.lit(1)).over(Window.partitionBy("uid", "item_id"))
+    falls = F.coalesce(F.lag("est").over(w) >= F.col("est"), F.lit(True))
+    return recs.select("uid", "rank", (falls & (same == 1)).alias("in_order"))
+
+
+@query("als_recommend_all_ranks", sql(_RANKS))
+def als_recommend_all_ranks(t: Tables):
+    """M5: every training user has ranks 1 to 10, different items, estimates that do not rise."""
+    return _rank_rows(als_recommend_all(t))
+
+
 @query("als_persist_reload")
 def als_persist_reload(t: Tables):
     """Save a fitted model to the shared folder, load it back and predict."""
-    from pyspark.ml.recommendation import ALSModel
+    model, path, test = _saved_model(t)
+    return factor.als_predict(model.load(path), test)
+
 
+def _saved_model(t: Tables):
     model, _, test = _als_fit(t)
     path = scratch_path(t.spark, "als-model")
     model.write().overwrite().save(path)
-    return factor.als_predict(ALSModel.load(path), test)
+    return model, path, test
+
+
+@query("als_reload_agrees", sql("""
+SELECT count(*) AS n, 0 AS n_different FROM test WHERE uid IN (SELECT uid FROM train) AND item_id IN (SELECT item_id FROM train)
+"""))
+def als_reload_agrees(t: Tables):
+    """A reloaded model gives the predictions of the model that was saved."""
+    model, path, test = _saved_model(t)
+    a = factor.als_predict(model, test)
+    b = factor.als_predict(model.load(path), test).select("uid", "item_id", F.col("est").alias("again"))
+    both = a.join(b, ["uid", "item_id"], "full")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("est").eqNullSafe(F.col("again"))).cast("int").alias("n_different"))
 
 
 @query("biased_mf_predictions")
 def biased_mf_predictions(t: Tables):
-    """M2 re-aimed: baseline biases + signed ALS factors on the residuals."""
+    """M2 re-aimed: baseline biases + signed ALS factors on the residuals, a row for every test row."""
     train, test = train_test(t.ratings_table())
-    base, model = factor.fit_biased_mf(train, rank=8, max_iter=8)
+    base, model = factor.fit_biased_mf(train)
     return factor.predict_biased_mf(base, model, test)
 
 
-@query("normal_predictor")
-def normal_predictor(t: Tables):
-    """Random N(mu, sigma) predictions, clamped, seeded."""
-    train, test = train_test(t.ratings_table())
-    return factor.normal_predictor(train, test)
+@query("biased_mf_prediction_rows", sql("SELECT uid, item_id, score AS true_r, true AS in_range FROM test"))
+def biased_mf_prediction_rows(t: Tables):
+    """M2: every test row is predicted within the scale, unseen users and items too."""
+    return biased_mf_predictions(t).select("uid", "item_id", "true_r", _in_range())
+
+
+@query("biased_mf_recommend_all")
+def biased_mf_recommend_all(t: Tables):
+    """M6 + J10 + T12: every training user's 10 best items by mean, biases and factors."""
+    train, _ = train_test(t.ratings_table())
+    base, model = factor.fit_biased_mf(train)
+    return factor.biased_mf_recommend_all(base, model, K_TOP)
+
+
+@query("biased_mf_recommend_all_ranks", sql(_RANKS))
+def biased_mf_recommend_all_ranks(t: Tables):
+    """M6: every training user has ranks 1 to 10, different items, estimates that do not rise."""
+    return _rank_rows(biased_mf_recommend_all(t))
+
+
+FOLDS = 3
+ALS_GRID = [(r, reg) for r in (10, 50, 100) for reg in (0.01, 0.05, 0.1)]
+RESIDUAL_GRID = [(n, reg) for n in (10, 20) for reg in (0.4, 0.5, 0.6)]
 
 
 @query("als_grid_search")
 def als_grid_search(t: Tables):
-    """Rank x regParam grid with 3-fold CrossValidator; mean RMSE per grid point."""
+    """3 x 3 grid over rank and regParam with 3-fold CrossValidator on the library's own folds; mean RMSE per grid point."""
     train, test = train_test(t.ratings_table())
-    est = factor.als(max_iter=5)
-    grid = ParamGridBuilder().addGrid(est.rank, [4, 8]).addGrid(est.regParam, [0.05, 0.1]).build()
+    est = factor.als()
+    grid = ParamGridBuilder().addGrid(est.rank, sorted({r for r, _ in ALS_GRID})).addGrid(est.regParam, sorted({x for _, x in ALS_GRID})).build()
     ev = RegressionEvaluator(metricName="rmse", labelCol="score", predictionCol="prediction")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, numFolds=3, parallelism=4, seed=42)
-    cvm = cv.fit(train)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, numFolds=FOLDS, parallelism=4, seed=42, foldCol="fold")
+    cvm = cv.fit(train.withColumn("fold", fold_of(FOLDS).cast("int")))
     rows = [
         (int(pm[est.rank]), float(pm[est.regParam]), float(m)) for pm, m in zip(grid, cvm.avgMetrics)
     ]
@@ -294,20 +397,55 @@ def als_grid_search(t: Tables):
     return pts.select("rank", "reg", rnd("cv_rmse").alias("cv_rmse"), rnd(test_rmse).alias("best_test_rmse"))
 
 
+def _residual_model(**params):
+    def predict(train, test):
+        base, model = factor.fit_biased_mf(train, **params)
+        return factor.predict_biased_mf(base, model, test)
+
+    return predict
+
+
+@query("residual_grid_search")
+def residual_grid_search(t: Tables):
+    """Grid over iterations and regularisation of the biased factor model, 3-fold mean RMSE and MAE, ranked."""
+    models = {f"{n}/{reg}": _residual_model(max_iter=n, reg=reg) for n, reg in RESIDUAL_GRID}
+    table = evaluate.cross_validate(models, t.ratings_table(), FOLDS)
+    part = F.split("model", "/")
+    m = table.groupBy("model").agg(rnd(F.avg("rmse")).alias("rmse"), rnd(F.avg("mae")).alias("mae"))
+    m = m.select(part[0].cast("int").alias("iterations"), part[1].cast("double").alias("reg"), "rmse", "mae")
+    return m.withColumn("rank", F.row_number().over(Window.orderBy("rmse", "iterations", "reg")).cast("long"))
+
+
 @query("model_comparison")
 def model_comparison(t: Tables):
-    """M11 (model table) + F9: RMSE and MAE of each predictor on the held-out split, 3 decimals."""
-    train, test = train_test(t.ratings_table())
-    base = factor.fit_baseline(train)
-    preds = {
-        "baseline": factor.prediction_rows(factor.predict_baseline(base, test)),
-        "normal": factor.normal_predictor(train, test),
-        "als_nonneg": factor.als_predict(factor.als(rank=8, max_iter=8).fit(train), test),
-    }
-    b, m = factor.fit_biased_mf(train, rank=8, max_iter=8)
-    preds["biased_mf"] = factor.predict_biased_mf(b, m, test)
-    out = None
-    for name, p in preds.items():
-        r = evaluate.rmse_mae(p).select(F.lit(name).alias("model"), rnd("rmse", 3).alias("rmse"), rnd("mae", 3).alias("mae"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """M11 (model table) + H4 + F9: 3-fold mean RMSE and MAE of every predictor, 3 decimals."""
+
+    def baseline(train, test):
+        return factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train), test))
+
+    models = {"baseline": baseline, "normal": factor.normal_predictor, "biased_mf": _residual_model(), "als_nonneg": evaluate.by_estimator(factor.als())}
+    table = evaluate.cross_validate(models, t.ratings_table(), FOLDS)
+    return table.groupBy("model").agg(rnd(F.avg("rmse"), 3).alias("rmse"), rnd(F.avg("mae"), 3).alias("mae"))
+
+
+_CV_NORMAL = """
+, fo AS (SELECT CAST(r.fold AS INTEGER) AS fold FROM range(3) r(fold)),
+g AS (SELECT fold, avg(score) AS mu, stddev_pop(score) AS sd FROM ratings, fo WHERE (uid * 31 + item_id) % 3 <> fold GROUP BY fold),
+h AS (SELECT (uid * 31 + item_id) % 3 AS fold, score, md5('42a/' || uid || '/' || item_id) AS a, md5('42b/' || uid || '/' || item_id) AS b FROM ratings),
+d AS (SELECT fold, score, (('0x' || a[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS p, (('0x' || b[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS q FROM h),
+e AS (SELECT d.fold, d.score - round(least(greatest(g.mu + g.sd * (sqrt(-2 * ln(p)) * cos(2 * pi() * q)), 1.0), 5.0), 6) AS e FROM d JOIN g ON g.fold = d.fold),
+nf AS (SELECT 'normal' AS model, fold, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, count(*) AS n FROM e GROUP BY fold)
+"""
+
+
+@query("model_comparison_folds", sql(_cv_sql([(factor.REG_ITEM, factor.REG_USER)], 3) + _CV_NORMAL.replace(", g AS", ", g2 AS").replace("JOIN g ON g.fold", "JOIN g2 g ON g.fold").replace("\ng AS", "\ng2 AS") + """
+SELECT 'baseline' AS model, CAST(fold AS INTEGER) AS fold, round(rmse, 6) AS rmse, round(mae, 6) AS mae, n FROM pf
+UNION ALL SELECT model, CAST(fold AS INTEGER), rmse, mae, n FROM nf
+"""))
+def model_comparison_folds(t: Tables):
+    """M11 + H4: the fold rows of the table for the predictors that SQL can express."""
+
+    def baseline(train, test):
+        return factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train), test))
+
+    return evaluate.cross_validate({"baseline": baseline, "normal": factor.normal_predictor}, t.ratings_table(), FOLDS)

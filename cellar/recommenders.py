@@ -10,7 +10,7 @@ correlated with the new profile. Every method returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import clamp, rnd
@@ -69,16 +69,34 @@ class CollabRecommender:
     def top_n(self, pairs: DataFrame, n: int = 10) -> DataFrame:
         return evaluate.top_n(self.predict(pairs), n)
 
-    def add_user(self, profile: dict[int, float]) -> tuple[int, DataFrame]:
-        """Append a new user's ratings; the new uid is max(uid) + 1."""
-        spark = SparkSession.getActiveSession()
-        new_uid = self.ratings.select(F.max("uid") + 1).scalar()
-        rows = spark.createDataFrame([(int(i), float(s)) for i, s in profile.items()], "item_id long, score double")
-        added = rows.select(new_uid.alias("uid"), "item_id", "score")
-        uid = added.select("uid").first()[0]
-        return uid, self.ratings.select("uid", "item_id", "score").unionByName(added)
-
-    def recommend_for(self, uid: int, candidates: DataFrame, n: int = 5, neighbours_n: int = 5, min_overlap: int = 3) -> DataFrame:
-        """M21 + M22: pool the top lists of the users most correlated with ``uid``."""
+    def add_user(self, profile: dict[int, float]) -> tuple[int, CollabRecommender]:
+        """A recommender that knows a new user's ratings too, and the new uid, max(uid) + 1.
+
+        The fitted model is kept: a new user has no bias or factors in it, but
+        ``recommend_for`` works through the users most correlated with the profile.
+        """
+        rows = self.ratings.sparkSession.createDataFrame([(int(i), float(s)) for i, s in profile.items()], "item_id long, score double")
+        uid = int(self.ratings.select(F.coalesce(F.max("uid") + 1, F.lit(0))).first()[0])
+        known = CollabRecommender(self.ratings.select("uid", "item_id", "score").unionByName(rows.select(F.lit(uid).cast("long").alias("uid"), "item_id", "score")), self.estimator, self.lo, self.hi)
+        known.model = self.model
+        return uid, known
+
+    def recommend_for(self, uid: int, candidates: DataFrame | str = "unseen", n: int = 5, neighbours_n: int = 5, min_overlap: int = 3) -> DataFrame:
+        """M21 + M22: pool the top lists of the users most correlated with ``uid``, without the items ``uid`` has rated.
+
+        ``candidates`` (D15b): a frame of (uid, item_id, score) pairs to predict,
+        or "unseen": every item that a neighbour has not rated.
+        """
         nb = neighbours.similar_users(self.ratings, uid, neighbours_n, mode="pairwise", min_overlap=min_overlap)
-        return neighbours.pooled_recommendations(self.predict(candidates), nb, n)
+        mine = self.ratings.where(F.col("uid") == uid)
+        if isinstance(candidates, str):
+            if candidates != "unseen":
+                raise ValueError('candidates must be a frame or "unseen"')
+            ids = [r["uid"] for r in nb.select("uid").collect()]  # neighbours_n rows
+            items = self.ratings.select("item_id").distinct()
+            pairs = items.select(F.explode(F.array(*[F.lit(i).cast("long") for i in ids])).alias("uid") if ids else F.lit(None).cast("long").alias("uid"), "item_id", F.lit(None).cast("double").alias("score"))
+            seen = self.ratings.where(F.col("uid").isin(ids)).select("uid", "item_id")
+            candidates = pairs.where(F.col("uid").isNotNull()).join(seen, ["uid", "item_id"], "left_anti")
+        else:
+            candidates = candidates.join(F.broadcast(nb.select("uid")), "uid", "left_semi")
+        return neighbours.pooled_recommendations(self.predict(candidates), nb, n, exclude=mine)

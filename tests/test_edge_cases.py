@@ -303,8 +303,16 @@ def test_recommender_api(spark):
     train, test = train_test(t.ratings())
     col = CollabRecommender(train).fit()
     assert col.top_n(test, 2).groupBy("uid").count().where("count > 2").count() == 0
-    uid, extended = col.add_user({1: 5.0, 2: 1.0})
-    assert extended.where(F.col("uid") == uid).count() == 2
+    profile = {r["item_id"]: float(r["score"]) for r in train.where("uid = 7").limit(8).collect()}
+    uid, added = col.add_user(profile)
+    assert uid == train.agg({"uid": "max"}).first()[0] + 1
+    assert added.ratings.where(F.col("uid") == uid).count() == len(profile)
+    unseen = added.recommend_for(uid, "unseen", n=5)
+    assert unseen.count() == 5 and not {r["item_id"] for r in unseen.collect()} & set(profile)
+    held = added.recommend_for(uid, test, n=3)
+    assert 0 < held.count() <= 3
+    nobody = CollabRecommender(train).fit().add_user({})[1]
+    assert nobody.recommend_for(uid, "unseen").count() == 0
 
 
 @pytest.mark.parametrize("rows_per_group", [10**9, 40])  # all in blocks / some entities heavy
@@ -489,3 +497,61 @@ def test_bigrams_span_reviews_as_in_the_joined_text(spark):
     # an item with placeholder text only is no document: with one document every idf is 1
     w = {r["term"]: r["weight"] for r in text.tfidf(df, ngram=1).collect()}
     assert len(w) == 5 and all(abs(x - 5**-0.5) < 1e-9 for x in w.values())
+
+
+def test_biased_factors_keep_every_row_and_give_different_lists(spark):
+    from cellar.operators import factor
+
+    rng = np.random.default_rng(31)
+    P, Q = rng.choice([-1.0, 1.0], size=(40, 1)), rng.choice([-1.0, 1.0], size=(30, 1))
+    R = 3 + 1.5 * P @ Q.T
+    data = [(u, i, float(R[u, i])) for u in range(40) for i in range(30) if rng.random() < 0.7]
+    train = spark.createDataFrame(data, "uid long, item_id long, score double")
+    base, model = factor.fit_biased_mf(train, rank=2, reg=0.05, max_iter=10)
+    test = spark.createDataFrame([(0, 0, 3.0), (99, 0, 2.0), (0, 99, 4.0), (99, 99, 1.0)], train.schema)
+    got = {(r["uid"], r["item_id"]): r["est"] for r in factor.predict_biased_mf(base, model, test).collect()}
+    plain = {(r["uid"], r["item_id"]): r["est"] for r in factor.predict_baseline(base, test).collect()}
+    assert len(got) == 4 and all(got[k] == plain[k] for k in got if 99 in k)
+    recs = factor.biased_mf_recommend_all(base, model, 3, block_size=7).collect()
+    lists = {u: [r["item_id"] for r in sorted(recs, key=lambda r: r["rank"]) if r["uid"] == u] for u in range(40)}
+    assert len({tuple(x) for x in lists.values()}) > 1
+    mu = train.agg({"score": "avg"}).first()[0]
+    uf = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    itf = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    bu = {r["uid"]: r["b_u"] for r in base.user_bias.collect()}
+    bi = {r["item_id"]: r["b_i"] for r in base.item_bias.collect()}
+    for u in range(40):
+        score = {i: round(bu[u] + bi[i] + float(uf[u] @ itf[i]), 6) for i in bi}
+        best = sorted(score, key=lambda i: (-score[i], i))[:3]
+        assert [round(mu + score[i], 4) for i in best] == [round(mu + score[i], 4) for i in lists[u]]
+
+
+def test_unseen_lists_match_brute_force(spark):
+    from cellar.operators import factor
+
+    rng = np.random.default_rng(37)
+    data = [(u, i, float(rng.integers(1, 6))) for u in range(12) for i in range(20) if rng.random() < (0.9 if u == 3 else 0.4)]
+    df = spark.createDataFrame(data, "uid long, item_id long, score double")
+    model = factor.fit_baseline(df)
+    got = factor.top_n_unseen(model, df, df.select("uid").union(spark.createDataFrame([(77,)], "uid long")), 4).collect()
+    bi = {r["item_id"]: r["b_i"] for r in model.item_bias.collect()}
+    for u in [*range(12), 77]:
+        seen = {i for x, i, _ in data if x == u}
+        want = sorted((i for i in bi if i not in seen), key=lambda i: (-bi[i], i))[:4]
+        assert [r["item_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["uid"] == u] == want
+
+
+def test_baseline_cv_matches_a_fit_per_fold(spark):
+    from cellar.operators import factor
+    from cellar.sources.tables import fold_of
+
+    rng = np.random.default_rng(41)
+    data = [(u, i, float(rng.integers(1, 6))) for u in range(25) for i in range(15) if rng.random() < 0.3] + [(999, 3, 5.0), (4, 888, 1.0)]
+    df = spark.createDataFrame(data, "uid long, item_id long, score double")
+    got = {(r["reg_i"], r["reg_u"], r["fold"]): (r["rmse"], r["mae"], r["n"]) for r in evaluate.baseline_cv(df, 3, [(10.0, 15.0), (2.0, 5.0)]).collect()}
+    for reg_i, reg_u in [(10.0, 15.0), (2.0, 5.0)]:
+        for f in range(3):
+            train, test = df.where(fold_of(3) != f), df.where(fold_of(3) == f)
+            m = evaluate.rmse_mae(factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train, reg_i, reg_u), test))).first()
+            rmse, mae, n = got[reg_i, reg_u, f]
+            assert n == m["n"] and abs(rmse - m["rmse"]) < 1e-5 and abs(mae - m["mae"]) < 1e-5

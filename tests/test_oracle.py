@@ -20,9 +20,8 @@ def test_every_query_registered_with_oracle_or_model():
     assert set(ORACLE) <= set(QUERIES)
     # only learned / randomised results go without an exact oracle
     assert rows_only == {
-        "als_predictions", "als_item_factors", "als_recommend_all", "als_persist_reload",
-        "biased_mf_predictions", "normal_predictor", "als_grid_search", "model_comparison",
-        "feature_assembly",
+        "als_predictions", "als_item_factors", "als_recommend_all", "als_persist_reload", "als_grid_search",
+        "biased_mf_predictions", "biased_mf_recommend_all", "residual_grid_search", "model_comparison",
     }
 
 

@@ -1,60 +1,80 @@
-"""Exact quantiles (linear interpolation, as numpy/pandas/DuckDB ``quantile_cont``)
-computed without gathering a group into one task.
-
-Plan: rows collapse to (group, value, count) with map-side combine, so one hot
-value costs one row. Approximate per-group boundaries (``percentile_approx``,
-a mergeable sketch) cut every group into ``buckets`` ranges of about equal row
-count; bucket totals give each range its starting rank, and only the distinct
-values inside one range are ordered together. The answer is still exact: the
-sketch only decides where the ranges are cut.
+"""Value counts, and what follows from them: moments and exact quantiles (linear
+interpolation, as numpy/pandas/DuckDB ``quantile_cont``), computed without
+gathering a group into one task.
+
+Rows collapse to (group, value, count) with map-side combine, so one hot value
+costs one row. The counts are written once to the shared folder. For quantiles
+they are cut by a range partitioning into ranges of about ``rows_per_range``
+values, as many as the data needs; range totals give each range its starting
+rank, and only the ranges that hold a wanted rank are ordered, each by itself.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellar.functions.exprs import ROUND, rnd
+from cellar.session import materialize
+
+
+def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """(by..., _v, _c): how often each value occurs per group; NULL and NaN are no values. Runs a job."""
+    v = F.col(value).cast("double")
+    base = df.select(*(by or []), F.when(~F.isnan(v), v).alias("_v")).where(F.col("_v").isNotNull())
+    return materialize(base.groupBy(*(by or []), "_v").agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+
+
+def count_mean(decimals: int | None = None) -> tuple[Column, Column]:
+    """Aggregates over value counts: number of values, and mean rounded to 6 digits.
+
+    With ``decimals`` the sum is taken over exact decimals, so the mean does not
+    depend on summation order (see ``exprs.mean``).
+    """
+    n = F.sum("_c")
+    if decimals is None:
+        return n, rnd(F.sum(F.col("_v") * F.col("_c")) / n)
+    exact = F.sum(F.col("_v").cast(f"decimal(18,{decimals})") * F.col("_c").cast("decimal(18,0)"))
+    return n, F.round(exact.cast(f"decimal(38,{decimals + 8})") / n.cast("decimal(20,0)"), ROUND).cast("double")
+
+
+def moments(counts: DataFrame, by: list[str], decimals: int | None = None) -> DataFrame:
+    """(by..., count, mean, std, min, max) per group; the sample deviation sums squares around the mean."""
+    n, mean = count_mean(decimals)
+    rough = counts.groupBy(*by).agg((F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("_m"), n.alias("count"), mean.alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    d = F.col("_v") - F.col("_m")
+    squares = counts.join(rough.select(*by, "_m"), by).groupBy(*by).agg(F.sum(d * d * F.col("_c")).alias("_q"))
+    std = F.when(F.col("count") > 1, rnd(F.sqrt(F.col("_q") / (F.col("count") - 1))))
+    return rough.join(squares, by).select(*by, "count", "mean", std.alias("std"), "min", "max")
+
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    qs: list[float],
-    by: list[str] | None = None,
-    names: list[str] | None = None,
-    buckets: int = 64,
-    rows_per_range: int = 1_000_000,
+    df: DataFrame, value: str, qs: list[float], by: list[str] | None = None, names: list[str] | None = None, rows_per_range: int = 1_000_000
 ) -> DataFrame:
     """One row per group with one column per quantile in ``qs``.
 
-    NULL values are ignored; a group with no value gets no row. Only groups
-    with more than ``rows_per_range`` rows are cut into ``buckets`` ranges
-    (the sketch runs on those groups alone); smaller groups are one range.
+    NULL and NaN values are ignored; a group with no value gets no row.
     """
+    return quantiles_of_counts(value_counts(df, value, by), qs, by, names, rows_per_range)
+
+
+def quantiles_of_counts(counts: DataFrame, qs: list[float], by: list[str] | None = None, names: list[str] | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
+    """Exact quantiles from (by..., _v, _c); see ``exact_quantiles``."""
     by = list(by or [])
     names = names or [f"q{int(round(q * 100))}" for q in qs]
-    v = F.col(value)
     gcols = by if by else ["_g"]
-    base = df.select(*[F.col(c) for c in by] or [F.lit(0).alias("_g")], v.cast("double").alias("_v"))
-    base = base.where(F.col("_v").isNotNull())
-
-    vc = base.groupBy(*gcols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if buckets > 1:
-        # groups large enough to be cut: their count is known from vc, and they
-        # are few (at most rows / rows_per_range of them)
-        big = vc.groupBy(*gcols).agg(F.sum("_c").alias("_gn")).where(F.col("_gn") > rows_per_range).select(*gcols)
-        fracs = [i / buckets for i in range(1, buckets)]
-        bounds = (
-            base.join(big, gcols, "left_semi")
-            .groupBy(*gcols)
-            .agg(F.percentile_approx("_v", fracs, max(1000, 16 * buckets)).alias("_b"))
-        )
-        k = F.when(F.col("_b").isNull(), F.lit(0)).otherwise(F.size(F.filter("_b", lambda b: b < F.col("_v"))))
-        vcb = vc.join(bounds, gcols, "left").select(*gcols, "_v", "_c", k.alias("_k"))
+    vc = counts if by else counts.withColumn("_g", F.lit(0))
+    ranges = math.ceil(vc.count() / rows_per_range)
+    if ranges > 1:
+        # written once: a row's range must not change between its uses
+        cut = vc.repartitionByRange(ranges, *gcols, "_v").withColumn("_k", F.spark_partition_id())
+        vcb = materialize(cut, "value-ranges")
     else:
-        vcb = vc.select(*gcols, "_v", "_c", F.lit(0).alias("_k"))
-    # rank offset of every range: a prefix sum over (groups x buckets) rows
+        vcb = vc.withColumn("_k", F.lit(0))
+    # rank offset of every range: a prefix sum over (groups x ranges) rows
     totals = vcb.groupBy(*gcols, "_k").agg(F.sum("_c").alias("_bc"))
     wg = Window.partitionBy(*gcols).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     totals = totals.select(

@@ -63,10 +63,21 @@ def every_nth(links: DataFrame, n: int = 2) -> DataFrame:
     return links.where(F.col("pos") % n == 0)
 
 
-def resume_from(links: DataFrame, start: str) -> DataFrame:
-    """Per page, the suffix of its list from the first occurrence of ``start`` on."""
-    first = links.where(F.col("link") == start).groupBy("page_id").agg(F.min("pos").alias("_start"))
-    return links.join(first, "page_id").where(F.col("pos") >= F.col("_start")).drop("_start")
+def links_from(pages: DataFrame, start: str) -> DataFrame:
+    """Per page, its links from the first occurrence of ``start`` on; a page without it has none.
+
+    The page's list is cut before it is exploded, so nothing is joined or shuffled.
+    """
+    arr = F.regexp_extract_all(F.col("html"), F.lit(LINK_PATTERN), F.lit(1))
+    cut = pages.select("page_id", arr.alias("_all")).select("page_id", "_all", F.array_position("_all", start).alias("_at"))
+    rest = F.when(F.col("_at") > 0, F.slice("_all", F.greatest(F.col("_at"), F.lit(1)).cast("int"), F.greatest(F.size("_all"), F.lit(1))))
+    links = cut.select("page_id", "_at", F.posexplode_outer(rest).alias("pos", "link")).where(F.col("link").isNotNull())
+    return links.select("page_id", (F.col("pos") + F.col("_at") - 1).cast("long").alias("pos"), "link")
+
+
+def page_rows(cards: DataFrame, subscores: DataFrame, key: str) -> DataFrame:
+    """The assembled row of a page: its card, then the average and median of each sub-score; NULL without any."""
+    return cards.join(subscores, key, "left")
 
 
 def parse_fraction(text: Column, denominators: str = "5|10|20|50") -> Column:

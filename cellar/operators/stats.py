@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import mean, nan_as_null, rnd
-from cellar.functions.quantiles import exact_quantiles
+from cellar.functions.quantiles import count_mean, moments, quantiles_of_counts, value_counts
 from cellar.session import materialize
 
 
@@ -77,30 +77,17 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def numeric_describe(df: DataFrame, cols: list[str], decimals: int | None = None) -> DataFrame:
     """A10: count, mean, std, min, exact quartiles, max for each column (long form).
 
-    One wide aggregate gives everything but the quartiles. Those are exact (not
-    ``summary()``'s approximate ones) and distributed: the columns are
-    unpivoted to (column, value) and at once reduced to value counts.
+    One scan: the columns are unpivoted and reduced to value counts (a job),
+    from which everything follows; quartiles are exact (not ``summary()``'s
+    approximate ones). A column without a value has count 0 and else NULL.
     """
-    df = nan_as_null(df, cols).select([F.col(c).cast("double").alias(c) for c in cols])
-    wide = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(c).alias("count"),
-                    mean(c, decimals).alias("mean"),
-                    rnd(F.stddev_samp(c)).alias("std"),
-                    F.min(c).alias("min"),
-                    F.max(c).alias("max"),
-                )
-                for c in cols
-            ]
-        ).alias("s")
-    )
-    basic = wide.select(F.inline("s"))  # a row per column
-    qs = exact_quantiles(df.unpivot([], cols, "column", "value"), "value", [0.25, 0.5, 0.75], by=["column"], names=["q25", "q50", "q75"])
+    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    counts = value_counts(long, "value", ["column"])
+    qs = quantiles_of_counts(counts, [0.25, 0.5, 0.75], ["column"], ["q25", "q50", "q75"])
     qs = qs.select("column", *[rnd(c).alias(c) for c in ("q25", "q50", "q75")])
-    return basic.join(qs, "column", "left")
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = every.join(moments(counts, ["column"], decimals), "column", "left").join(qs, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).cast("long").alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def per_key_count_stats(ratings: DataFrame, key: str, value: str = "score") -> DataFrame:
@@ -138,14 +125,20 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
 def avg_median(df: DataFrame, key: str, cols: list[str], decimals: int | None = None) -> DataFrame:
     """Average and exact median per key of several sub-scores; empty -> NULL.
 
-    The sub-scores are unpivoted once so one quantile pass serves all of them.
+    One scan: the sub-scores are unpivoted and reduced to value counts (a job)
+    that averages and medians both come from.
     """
-    df = nan_as_null(df, cols)
-    out = df.groupBy(key).agg(*[mean(c, decimals).alias(f"{c}_avg") for c in cols])
-    long = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(key, cols, "_col", "_val")
-    med = exact_quantiles(long, "_val", [0.5], by=[key, "_col"], names=["_med"])
-    wide = med.groupBy(key).agg(*[F.max(F.when(F.col("_col") == c, rnd("_med"))).alias(f"{c}_med") for c in cols])
-    return out.join(wide, key, "left")
+    # a constant beside the sub-scores keeps the keys whose sub-scores are all missing
+    wide = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols], F.lit(0.0).alias("_key"))
+    long = wide.unpivot(key, [*cols, "_key"], "_col", "_val")
+    counts = value_counts(long, "_val", [key, "_col"])
+    avg = counts.groupBy(key, "_col").agg(count_mean(decimals)[1].alias("_avg"))
+    med = quantiles_of_counts(counts, [0.5], [key, "_col"], ["_med"])
+    both = avg.join(med, [key, "_col"])
+    return both.groupBy(key).agg(
+        *[F.max(F.when(F.col("_col") == c, F.col("_avg"))).alias(f"{c}_avg") for c in cols],
+        *[F.max(F.when(F.col("_col") == c, rnd("_med"))).alias(f"{c}_med") for c in cols],
+    )
 
 
 def global_stats(df: DataFrame, value: str = "score") -> DataFrame:

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from cellar.operators import pages
-from cellar.plans.registry import query, sql
+from cellar.plans.registry import ORACLE, query, sql
 from cellar.session import scratch_path
 from cellar.sources.tables import Tables
 from cellar.streaming.pages import read_sink, run_incremental
@@ -65,7 +65,7 @@ SELECT links.* FROM links JOIN s ON s.page_id = links.page_id WHERE links.pos >=
 """))
 def page_links_resume(t: Tables):
     """A page's links from the resume link on."""
-    return pages.resume_from(pages.page_links(t.pages), RESUME_AT)
+    return pages.links_from(t.pages, RESUME_AT)
 
 
 @query("parse_fraction_scores", sql("""
@@ -83,37 +83,41 @@ def parse_fraction_scores(t: Tables):
     return s.select("*", pages.parse_fraction(F.col("score_text")).alias("score"))
 
 
-_SUB_TEXTS = """
-, s AS (SELECT l_partkey AS item_id,
-               CASE WHEN l_linenumber = 7 THEN 'x/50' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '/50' END AS qty_text,
-               CASE WHEN l_linenumber = 6 THEN '' ELSE CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) || '/10' END AS tax_text
-        FROM lineitem),
-p AS (SELECT item_id, TRY_CAST(regexp_replace(qty_text, '/(5|10|20|50)$', '') AS INTEGER) AS qty,
-             TRY_CAST(regexp_replace(tax_text, '/(5|10|20|50)$', '') AS INTEGER) AS tax FROM s)
-"""
+# name: (numerator, denominator, line number whose text is malformed, that text)
+_SUBSCORES = {
+    "aroma": ("1 + pmod(CAST(l_quantity AS BIGINT), 10)", 10, 7, "x/10"),
+    "appearance": ("1 + pmod(CAST(l_quantity AS BIGINT), 5)", 5, 6, ""),
+    "taste": ("CAST(round(l_tax * 100) AS BIGINT)", 10, 5, "7/11"),
+    "palate": ("1 + pmod(CAST(round(l_discount * 100) AS BIGINT), 5)", 5, 4, "3/10"),
+    "overall": ("CAST(l_quantity AS BIGINT)", 50, 3, "?"),
+}
+_SUB_SQL = ", s AS (SELECT l_partkey AS item_id, " + ", ".join(
+    f"CASE WHEN l_linenumber = {bad} THEN '{text}' ELSE CAST({n.replace('pmod(', 'mod(')} AS VARCHAR) || '/{d}' END AS {name}" for name, (n, d, bad, text) in _SUBSCORES.items()
+) + " FROM lineitem),\np AS (SELECT item_id, " + ", ".join(f"TRY_CAST(regexp_replace({name}, '/{d}$', '') AS INTEGER) AS {name}" for name, (_, d, _, _) in _SUBSCORES.items()) + " FROM s)"
+_SUB_AGG = ", ".join(f"round(avg({c}), 6) AS {c}_avg" for c in _SUBSCORES) + ", " + ", ".join(f"round(median(CAST({c} AS DOUBLE)), 6) AS {c}_med" for c in _SUBSCORES)
 
 
-@query("page_subscores", sql(_SUB_TEXTS + """
-SELECT item_id, round(avg(qty), 6) AS qty_avg, round(median(CAST(qty AS DOUBLE)), 6) AS qty_med, count(qty) AS qty_n,
-       round(avg(tax), 6) AS tax_avg, round(median(CAST(tax AS DOUBLE)), 6) AS tax_med, count(tax) AS tax_n
-FROM p GROUP BY item_id
-"""))
+@query("page_subscores", sql(_SUB_SQL + f"SELECT item_id, {_SUB_AGG} FROM p GROUP BY item_id"))
 def page_subscores(t: Tables):
-    """X3 (F8 + A13): sub-score texts parsed to numbers, then average, exact median and
-    count of valid scores per item; malformed texts are skipped, not zero."""
+    """X3 (F8 + A13): five sub-score texts, each with its own scale, parsed to numbers, then
+    average and exact median of each per item; malformed texts are skipped, not zero."""
     from cellar.operators.stats import avg_median
 
-    li = t.lineitem
-    qty = F.when(F.col("l_linenumber") == 7, "x/50").otherwise(F.concat(F.col("l_quantity").cast("long").cast("string"), F.lit("/50")))
-    tax = F.when(F.col("l_linenumber") == 6, "").otherwise(F.concat(F.round(F.col("l_tax") * 100).cast("long").cast("string"), F.lit("/10")))
-    p = li.select(
+    texts = t.lineitem.select(
         F.col("l_partkey").alias("item_id"),
-        pages.parse_fraction(qty).alias("qty"),
-        pages.parse_fraction(tax).alias("tax"),
+        *[F.when(F.col("l_linenumber") == bad, text).otherwise(F.concat(F.expr(n).cast("string"), F.lit(f"/{d}"))).alias(name) for name, (n, d, bad, text) in _SUBSCORES.items()],
     )
-    out = avg_median(p, "item_id", ["qty", "tax"])
-    n = p.groupBy("item_id").agg(F.count("qty").alias("qty_n"), F.count("tax").alias("tax_n"))
-    return out.join(n, "item_id")
+    parsed = texts.select("item_id", *[pages.parse_fraction(F.col(name), str(d)).alias(name) for name, (_, d, _, _) in _SUBSCORES.items()])
+    return avg_median(parsed, "item_id", list(_SUBSCORES))
+
+
+_CARD_SQL = ORACLE["page_cards"].partition("SELECT page_id")[2]
+
+
+@query("page_rows", sql(_SUB_SQL + f", sub AS (SELECT item_id AS page_id, {_SUB_AGG} FROM p GROUP BY item_id),\ncards AS (SELECT page_id{_CARD_SQL})\nSELECT cards.*, sub.* EXCLUDE (page_id) FROM cards LEFT JOIN sub ON sub.page_id = cards.page_id"))
+def page_rows(t: Tables):
+    """The assembled page row: card and the averages and medians of the five sub-scores of the item of the same number."""
+    return pages.page_rows(pages.page_cards(t.pages), page_subscores(t).withColumnRenamed("item_id", "page_id"), "page_id")
 
 
 @query("incremental_pages", sql("SELECT page_id, url, length(html) AS n_chars FROM pages"))

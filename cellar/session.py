@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,9 +35,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Give this package to the executors, so that grouped Python functions can import it.
+
+    Needed where the workers do not have the package on their path; on a cluster
+    ``spark-submit --py-files`` with the same zip does it too. Returns the zip's path.
+    """
+    import cellar
+
+    root = Path(cellar.__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="cellar-package-")) / "cellar.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(target))
+    return str(target)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
@@ -58,9 +78,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder (full URI kept)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cellar-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the application's part of the shared checkpoint folder (full URI kept)."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cellar-scratch/{spark.sparkContext.applicationId}"
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Remove everything this application wrote with ``scratch_path``; frames read from there cannot be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):

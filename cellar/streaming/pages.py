@@ -4,8 +4,9 @@ A Structured Streaming query reads page files as they land in a folder, drops
 urls it has already seen, and appends the new pages to a parquet sink. The
 checkpoint is the resume point: a restarted query (``availableNow``) processes
 only files it has not committed, so a crash or a second run never duplicates a
-page. The url set lives in the state store; when pages carry a crawl time,
-``dropDuplicatesWithinWatermark`` bounds that state.
+page. The url set lives in the RocksDB state store: on disk, with its
+checkpoints in the shared folder, so it is not bounded by an executor's memory;
+when pages carry a crawl time, ``dropDuplicatesWithinWatermark`` bounds it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_incremental(
     spark: SparkSession,
     schema: StructType,
@@ -30,6 +34,7 @@ def run_incremental(
     it, a key is only deduplicated within ``delay`` of its first sighting and
     the state is purged behind the watermark.
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     stream = spark.readStream.schema(schema).parquet(source_dir)
     if event_time:
         stream = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])

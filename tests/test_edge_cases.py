@@ -143,7 +143,8 @@ def test_missing_page_elements(spark):
     assert c["path_no"] == 12 and c["page_no"] == 3 and c["n_links"] == 3
     links = rows(pages.page_links(df, r"[.,]$"), "pos", "link")
     assert links == [(0, "/x"), (1, "/the")]
-    assert rows(pages.resume_from(pages.page_links(df), "/the"), "link") == [("/the",), ("/y,",)]
+    assert rows(pages.links_from(df, "/the"), "pos", "link") == [(1, "/the"), (2, "/y,")]
+    assert pages.links_from(df, "/none").count() == 0
     s = spark.createDataFrame([("7/10",), ("x/10",), ("",), ("3/5",)], "t string")
     assert rows(s.select(pages.parse_fraction(F.col("t")).alias("v")), "v") == srt([(7,), (None,), (None,), (3,)])
 
@@ -153,7 +154,7 @@ def test_exact_quantiles_match_numpy(spark):
     vals = np.concatenate([rng.integers(0, 50, 3000), np.full(2000, 7)]).astype(float)  # a hot value
     g = np.where(np.arange(len(vals)) % 3 == 0, "a", "b")
     df = spark.createDataFrame([(str(k), float(v)) for k, v in zip(g, vals)], "g string, v double")
-    out = {r["g"]: r for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], buckets=8, rows_per_range=100).collect()}
+    out = {r["g"]: r for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], rows_per_range=7).collect()}
     for k in ("a", "b"):
         exp = np.quantile(vals[g == k], [0.1, 0.5, 0.9])
         assert np.allclose([out[k]["q10"], out[k]["q50"], out[k]["q90"]], exp)
@@ -555,3 +556,48 @@ def test_baseline_cv_matches_a_fit_per_fold(spark):
             m = evaluate.rmse_mae(factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train, reg_i, reg_u), test))).first()
             rmse, mae, n = got[reg_i, reg_u, f]
             assert n == m["n"] and abs(rmse - m["rmse"]) < 1e-5 and abs(mae - m["mae"]) < 1e-5
+
+
+def test_scratch_is_removed_and_cluster_folders_are_asked_for(spark, monkeypatch):
+    from cellar import session
+
+    assert session.scratch_path(spark, "x").startswith("file:")  # the full URI is kept
+    kept = session._scratch_folder
+    monkeypatch.setattr(session, "_scratch_folder", lambda s: kept(s) + "-test")
+    df = session.materialize(spark.range(3), "y")
+    path = df.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert os.path.exists(path) and session.clean_scratch(spark) and not os.path.exists(path)
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_package_works_from_another_folder(tmp_path):
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys; sys.path.insert(0, {repo!r})
+from cellar.session import local_session
+import __spark_entry__ as E
+s = local_session(2, 4)
+print("ROWS", E.queries()["embedding_cosine_topk"](s, "/root/testdata/sf0.001").count())
+s.stop()
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 5000" in out.stdout, out.stderr[-2000:]

@@ -33,3 +33,18 @@ def test_no_python_row_udf_in_hot_paths(spark):
     for key in ("enriched_items", "tfidf_weights", "baseline_predictions", "page_cards"):
         p = plan(Q[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_describe_scans_its_input_once(spark, monkeypatch):
+    """Only the plan that makes the value counts reads the input; the rest reads the counts."""
+    from cellar.functions import quantiles
+    from cellar.operators import stats
+    from cellar.sources.tables import Tables
+
+    plans = []
+    write = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, name: plans.append(plan(df)) or write(df, name))
+    li = Tables(spark, SF_SMALL).lineitem
+    out = stats.numeric_describe(li, ["l_quantity", "l_tax"], decimals=2)
+    assert sum(p.count("lineitem.parquet") for p in plans) == 1 and "lineitem.parquet" not in plan(out)
+    assert "ReadSchema: struct<l_quantity:double,l_tax:double>" in plans[0]

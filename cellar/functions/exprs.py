@@ -52,6 +52,15 @@ def nan_as_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)).cast(t) for c, t in wanted.items()}) if wanted else df
 
 
+#: the most rows that a side whose size a parameter sets is broadcast with
+MAX_BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """A broadcast hint for a side of at most ``rows`` rows, if that is few; else the join is left to Spark."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
 def pearson_from_moments(n, sx, sy, sxx, syy, sxy, eps: float = 1e-9) -> Column:
     """Pearson r from six moment sums; NULL when a side is constant.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import nan_as_null, rnd
+from cellar.functions.exprs import nan_as_null, rnd, small_side
 from cellar.operators.clean import cap_filter, drop_incomplete, drop_placeholder
 from cellar.operators.stats import positions_per_key, top_n_by_count
 
@@ -13,11 +13,11 @@ from cellar.operators.stats import positions_per_key, top_n_by_count
 def top_n_ratings(ratings: DataFrame, n: int) -> DataFrame:
     """The ratings of the n most-rated items.
 
-    The top-n side holds exactly n rows, so broadcasting it is size-safe; the
-    ratings side is never shuffled for the join.
+    The top-n side holds exactly n rows, so it is broadcast unless n is large;
+    the ratings side is then never shuffled for the join.
     """
     top = top_n_by_count(ratings, "item_id", n).select("item_id")
-    return ratings.join(F.broadcast(top), "item_id")
+    return ratings.join(small_side(top, n), "item_id")
 
 
 # Rows per text chunk: a key's texts are joined in chunks of consecutive rows,
@@ -73,7 +73,7 @@ def enrich_items(item_scores: DataFrame, items: DataFrame, producers: DataFrame)
 def top_producers_named(items: DataFrame, producers: DataFrame, n: int = 10) -> DataFrame:
     """Producers with most items, decorated with their name (n rows broadcast)."""
     top = top_n_by_count(items, "producer_id", n, "n_items")
-    return producers.join(F.broadcast(top), "producer_id").select("producer_id", "producer_name", "n_items")
+    return producers.join(small_side(top, n), "producer_id").select("producer_id", "producer_name", "n_items")
 
 
 def top_ratings(reviews: DataFrame, n: int = 1000, cap: float = 5.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import pearson_from_moments, rnd
+from cellar.functions.exprs import pearson_from_moments, rnd, small_side
 from cellar.operators import factor
 
 
@@ -82,10 +82,10 @@ def pooled_recommendations(predictions: DataFrame, neighbours: DataFrame, n: int
     n best items overall, exactly n rows when enough exist. Items of
     ``exclude`` (e.g. those the target has rated) are left out.
 
-    ``neighbours`` is a top-n result (bounded by its n), so it is broadcast.
+    ``neighbours`` is a top-n result; Spark sees its limit and picks the join.
     """
     w = Window.partitionBy("uid").orderBy(F.desc("est"), F.asc("item_id"))
-    nb = F.broadcast(neighbours.select("uid", F.col("rank").alias("nb_rank")))
+    nb = neighbours.select("uid", F.col("rank").alias("nb_rank"))
     lists = predictions.join(nb, "uid").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_user)
     pooled = lists.groupBy("item_id").agg(
         F.min_by(F.col("est"), F.col("nb_rank")).alias("est"),
@@ -116,7 +116,7 @@ def recommend_new_user(
     """
     extended, uid = append_user(ratings, profile)
     nb = similar_users(extended, uid, neighbours_n, mode="pairwise", min_overlap=min_overlap)
-    few = F.broadcast(nb.select("uid"))  # neighbours_n rows
+    few = small_side(nb.select("uid"), neighbours_n)
     if candidates == "unseen":
         lists = factor.top_n_unseen(model, ratings.join(few, "uid", "left_semi"), nb, per_user)
     elif candidates == "heldout" and heldout is not None:
@@ -128,6 +128,6 @@ def recommend_new_user(
 
 
 def decorate(recommended: DataFrame, attributes: DataFrame) -> DataFrame:
-    """A short list (broadcast) with the attributes of its items; items without attributes stay."""
-    found = attributes.join(F.broadcast(recommended.select("item_id")), "item_id", "left_semi")
+    """A short list with the attributes of its items; items without attributes stay."""
+    found = attributes.join(recommended.select("item_id"), "item_id", "left_semi")
     return recommended.withColumn("from_rank", F.col("from_rank").cast("long")).join(found, "item_id", "left")

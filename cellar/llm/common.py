@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cellar.session import materialize  # noqa: F401  (one place to import it from)
 
 
+BATCH_ROWS = 2048
 #: stands for a null document id where ids are keys
 NO_ID = -(1 << 63)
 
@@ -31,12 +32,16 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` for a function of one batch; empty batches are passed over."""
+    """``mapInArrow`` for a function of one batch of at most ``BATCH_ROWS`` rows; empty batches are passed over.
+
+    Spark's batches hold 10,000 rows by default; cut smaller, what a function
+    makes of a batch of long texts stays small too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                out = fn(b)
+        for whole in batches:
+            for i in range(0, whole.num_rows, BATCH_ROWS):
+                out = fn(whole.slice(i, BATCH_ROWS))
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)

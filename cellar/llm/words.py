@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd: invertible modulo 2**64
 

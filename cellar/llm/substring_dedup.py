@@ -8,10 +8,11 @@ Automata of all documents, sent to every task, would cost the square of the
 corpus. So equal windows are first brought together by content, and automata
 are built only where texts differ in part:
 
-1. Each window names its anchor, the smallest hash of its ``GRAM``-word runs;
-   equal windows name the same one. Consecutive windows with one anchor form a
-   segment: (anchor, hash of the segment's words, document, first word, windows).
-   Segments of one anchor meet in one partition, without their texts.
+1. Each window names its anchor, the smallest hash of its ``GRAM``-word runs,
+   very common runs last; equal windows name the same one. Consecutive windows
+   with one anchor form a segment: (anchor, hash of the segment's words,
+   document, first word, windows). Segments of one anchor meet in one
+   partition, without their texts.
 2. In a sorted pass, of segments with the same words all but the earliest are
    removed whole. The earliest ones are kept aside as references if their
    anchor has other segments too, or occurs again inside.
@@ -19,14 +20,16 @@ are built only where texts differ in part:
    automaton is built, its segments stream through it for matching statistics,
    and every match of ``WINDOW`` words names the automaton's state, which is
    the same for equal windows: all but the earliest window of a state go.
-   A shard beyond ``SHARD`` segments (one anchor with many texts around it) is
-   a series of automata that all its segments stream through, so an automaton
-   never holds more.
+   A shard beyond ``2 * SHARD`` segments (one anchor with many texts around it) is
+   cut into single windows, which a hash of their words deals to automata of
+   that size, so neither memory nor time grows faster than the segments.
 4. Removed windows are gathered per document and cut out of its text.
 
-Anchors that a sample of the documents shows to be very common are salted over
-many partitions and combined in a second, small step; the sample decides where
-rows go, not what is removed. Texts move twice, compressed.
+Runs that a sample of the documents shows to be very common (a line that a
+third of the documents hold) are anchors only of windows that have no other run;
+such windows are salted over many partitions and combined in a second, small
+step. The sample decides where rows go, not what is removed. Texts move twice,
+compressed.
 
 Null text: no words. A null id is one document before all others. Rows that
 share an id are versions of one document: what goes at a word position goes in
@@ -51,7 +54,8 @@ WINDOW, GRAM = 20, 6
 MAX_RUN = 64  # windows of a segment; below 128, see _at
 SHARD = 2000
 SALTS = 64
-SAMPLE, HOT_LEAST, MAX_HOT = 0.01, 50, 1000  # share of documents, rows of an anchor in it, anchors taken
+SAMPLE, HOT_LEAST, MAX_HOT = 0.01, 50, 10_000  # share of documents, occurrences of a run in it, runs taken
+COMMON_BIT = U(1 << 63)  # of the anchors of windows that hold common runs only
 
 
 # ---- anchors and segments ----------------------------------------------------
@@ -66,7 +70,30 @@ def _sliding_min(x: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (k - size)], x[k - size :]) if size < k else x
 
 
-def segments(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class CommonRuns:
+    """Membership of run hashes in a set of at most ``MAX_HOT``."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[self.hashes >> U(44)] = True
+
+    def priority(self, gram: np.ndarray) -> np.ndarray:
+        """The hashes as anchors are compared: 63 bits, with ``COMMON_BIT`` for a common run."""
+        out = gram >> U(1)
+        some = np.flatnonzero(self.maybe[gram >> U(44)]) if len(self.hashes) else []
+        if len(some):
+            out[some[np.isin(gram[some], self.hashes)]] |= COMMON_BIT
+        return out
+
+
+def runs_of(w: Words) -> np.ndarray:
+    """Hashes of all ``GRAM``-word runs, those across a text's border too (no window holds one)."""
+    h = w.hashes()
+    return run_hashes(h, np.arange(len(h) - GRAM + 1), np.arange(GRAM, len(h) + 1)) if len(h) >= GRAM else np.zeros(0, U)
+
+
+def segments(w: Words, common: CommonRuns) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, windows, anchor occurs again, anchor, hash of the words) of the segments of a slice's texts.
 
     Only where the anchor occurs again can a segment hold a window twice.
@@ -75,7 +102,7 @@ def segments(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     at = np.flatnonzero(w.doc[: len(h) - WINDOW + 1] == w.doc[WINDOW - 1 :]) if len(h) >= WINDOW else np.zeros(0, np.int64)
     if not len(at):
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U),) * 2
-    gram = run_hashes(h, np.arange(len(h) - GRAM + 1), np.arange(GRAM, len(h) + 1))
+    gram = common.priority(run_hashes(h, np.arange(len(h) - GRAM + 1), np.arange(GRAM, len(h) + 1)))
     anchor = _sliding_min(gram, WINDOW - GRAM + 1)[at]
     new = np.ones(len(at), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
@@ -102,31 +129,35 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _anchors(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """A row per segment: g (the anchor; of a common one, one of its salted values), c (hash of the words), doc, at."""
+    """A row per segment: h (the anchor), salt (0, but for a common anchor), c (hash of the words), doc, at."""
+    names = ["h", "salt", "c", "doc", "at"]
+    common = CommonRuns(hot)
 
     def one(b: pa.RecordBatch) -> pa.Table:
         ids, out = b.column(0).to_numpy(zero_copy_only=False), []
         for i, j, offsets, data in slices(b.column(1)):
-            text, first, n, again, g, c = segments(Words(offsets, data))
+            text, first, n, again, h, c = segments(Words(offsets, data), common)
             doc = ids[i:j][text]
-            if len(hot):
-                common = np.isin(g, hot)
-                g = np.where(common, _salted(g, doc), g)
-            out.append(pa.RecordBatch.from_arrays([_long(g), _long(c), pa.array(doc), pa.array(_at(first, n, again))], names=["g", "c", "doc", "at"]))
+            salt = np.where(h >= COMMON_BIT, mix(doc.view(U)) % U(SALTS) + U(1), U(0))
+            out.append(pa.RecordBatch.from_arrays([_long(h), _long(salt), _long(c), pa.array(doc), pa.array(_at(first, n, again))], names=names))
         return pa.Table.from_batches(out)
 
-    return map_batches(docs.select("_k", "_text"), one, "g bigint, c bigint, doc bigint, at bigint")
+    return map_batches(docs.select("_k", "_text"), one, "h bigint, salt bigint, c bigint, doc bigint, at bigint")
 
 
-def _salted(g: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    return mix(g ^ mix(mix(doc.view(U)) % U(SALTS) + U(1)))
+def _common_runs(docs: DataFrame) -> np.ndarray:
+    """The most frequent runs of a sample of the documents (``MAX_HOT`` at most)."""
 
+    def one(b: pa.RecordBatch) -> pa.Table:
+        out = []
+        for _, _, offsets, data in slices(b.column(0)):
+            gram, n = np.unique(runs_of(Words(offsets, data)), return_counts=True)
+            out.append(pa.RecordBatch.from_arrays([_long(gram), pa.array(n.astype(np.int64))], names=["g", "n"]))
+        return pa.Table.from_batches(out)
 
-def _common_anchors(docs: DataFrame) -> np.ndarray:
-    """The most frequent anchors of a sample of the documents."""
-    sample = _anchors(docs.sample(SAMPLE, seed=7), np.zeros(0, U)).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    sample = sample.where(F.col("n") >= HOT_LEAST).orderBy(F.desc("n"), "g").limit(MAX_HOT)
-    return np.sort(np.array([r["g"] for r in sample.collect()], np.int64).view(U))
+    found = map_batches(docs.select("_text").sample(SAMPLE, seed=7), one, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
+    rows = found.where(F.col("n") >= HOT_LEAST).orderBy(F.desc("n"), "g").limit(MAX_HOT).collect()
+    return np.array([r["g"] for r in rows], np.int64).view(U)
 
 
 # ---- equal segments ------------------------------------------------------------
@@ -134,21 +165,15 @@ def _common_anchors(docs: DataFrame) -> np.ndarray:
 REMOVED, REFERENCE, COMMON = 0, 1, 2
 
 
-def _equal_segments(batches: Iterator[pa.RecordBatch], common: dict[int, int]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (g, c, doc, at): what goes, and the references. State is one row, so no group is held."""
-    salted = np.sort(np.array(list(common), np.int64))
+def _equal_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (h, salt, c, doc, at): what goes, and the references. State is one row, so no group is held."""
     carry, carry_paired = None, False  # the last reference of the rows so far, and whether its anchor has others
 
-    def rows(kind: int, x: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int8)), *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(4))], names=["kind", "h", "c", "doc", "at"])
+    def rows(kind: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(np.ascontiguousarray(x[:, k])) for k in (0, 2, 3, 4))], names=["kind", "h", "c", "doc", "at"])
 
-    def references(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        is_common = np.isin(x[:, 0], salted)
-        if is_common.any():
-            y = x[is_common]
-            y[:, 0] = [common[v] for v in y[:, 0].tolist()]
-            yield rows(COMMON, y)
-        yield rows(REFERENCE, x[~is_common])
+    def references(x: np.ndarray) -> pa.RecordBatch:
+        return rows(np.where(x[:, 1] > 0, COMMON, REFERENCE).astype(np.int8), x)
 
     for b in batches:
         if not b.num_rows:
@@ -156,40 +181,32 @@ def _equal_segments(batches: Iterator[pa.RecordBatch], common: dict[int, int]) -
         x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
         if carry is not None:
             x = np.concatenate((carry, x))
-        new_g = np.ones(len(x), bool)
-        new_g[1:] = x[1:, 0] != x[:-1, 0]
-        new_c = new_g.copy()
-        new_c[1:] |= x[1:, 1] != x[:-1, 1]
+        new_h = np.ones(len(x), bool)
+        new_h[1:] = (x[1:, :2] != x[:-1, :2]).any(axis=1)
+        new_c = new_h.copy()
+        new_c[1:] |= x[1:, 2] != x[:-1, 2]
         lead = np.flatnonzero(new_c)
         own = x[lead[np.cumsum(new_c) - 1]]
-        later = (x[:, 2] != own[:, 2]) | (x[:, 3] != own[:, 3])  # a repeated row is not earlier than itself
-        yield rows(REMOVED, x[later])
+        later = (x[:, 3:] != own[:, 3:]).any(axis=1)  # a repeated row is not earlier than itself
+        yield rows(np.full(later.sum(), REMOVED, np.int8), x[later])
         ref = x[lead]
         with_next = np.zeros(len(ref), bool)
-        with_next[:-1] = ref[1:, 0] == ref[:-1, 0]
-        paired = with_next.copy()
+        with_next[:-1] = (ref[1:, :2] == ref[:-1, :2]).all(axis=1)
+        paired = with_next | (ref[:, 1] > 0) | (ref[:, 4] >> 7 & 1).astype(bool)
         paired[1:] |= with_next[:-1]
-        paired[0] |= carry_paired and carry is not None
-        paired |= (ref[:, 3] >> 7 & 1).astype(bool)
-        known = slice(0, len(ref) - 1)
-        out = ref[known][paired[known] | np.isin(ref[known, 0], salted)]
-        yield from references(out)
+        paired[0] |= carry_paired
+        yield references(ref[:-1][paired[:-1]])
         carry, carry_paired = ref[-1:], bool(paired[-1])
-    if carry is not None and (carry_paired or np.isin(carry[0, 0], salted)):
-        yield from references(carry)
+    if carry_paired:
+        yield references(carry)
 
 
 def _sort_out(docs: DataFrame) -> DataFrame:
-    """Rows (kind, h, c, doc, at) of what goes and of the references, written to the shared folder."""
-    hot = _common_anchors(docs)
-    salts = mix(np.arange(SALTS, dtype=U) + U(1))
-    common = {int(s): int(g) for g in hot for s in mix(g ^ salts).view(np.int64)}
-    common = {s: int(np.array([g], U).view(np.int64)[0]) for s, g in common.items()}
-    dealt = _anchors(docs, hot).repartition("g").sortWithinPartitions("g", "c", "doc", "at")
-    found = materialize(dealt.mapInArrow(lambda it: _equal_segments(it, common), "kind tinyint, h bigint, c bigint, doc bigint, at bigint"), "segments")
-    if not common:
-        return found
-    # the few references of each common anchor's salts: the earliest of each text stays one, the others go
+    """Rows (kind, h, c, doc, at) of what goes and of the references; the first step is written to the shared folder."""
+    keys = ["h", "salt"]
+    dealt = _anchors(docs, _common_runs(docs)).repartition(*keys).sortWithinPartitions(*keys, "c", "doc", "at")
+    found = materialize(dealt.mapInArrow(_equal_segments, "kind tinyint, h bigint, c bigint, doc bigint, at bigint"), "segments")
+    # of a common anchor's salts, the earliest segment of each text stays a reference, the others go: at most SALTS rows each
     order = Window.partitionBy("h", "c").orderBy("doc", "at")
     second = found.where(F.col("kind") == COMMON).withColumn("lead", F.first(F.struct("doc", "at")).over(order)).withColumn("i", F.row_number().over(order))
     kind = F.when(F.col("i") == 1, REFERENCE).when(F.col("lead") != F.struct("doc", "at"), REMOVED)
@@ -259,46 +276,55 @@ class SuffixAutomaton:
                     yield i + 1 - size, state
 
 
-def repeated_windows(shard: list[tuple[int, int, bytes]], size: int = WINDOW, most: int = SHARD) -> Iterator[tuple[int, int, int]]:
-    """Of segments (document, first word, words): (document, first word, windows) of the runs of windows that start earlier elsewhere."""
+Segment = tuple[int, int, bytes]  # document, first word, words
+
+
+def repeated_windows(shard: list[Segment], size: int = WINDOW, most: int = 2 * SHARD) -> Iterator[tuple[int, int, int]]:
+    """(document, first word, windows) of the runs of windows that start earlier in another place of the shard."""
     numbers: dict[bytes, int] = {}
-    coded = [np.array([numbers.setdefault(x, len(numbers)) for x in words.split()], np.int32) for _, _, words in shard]
-    gone = [set() for _ in shard]
-    for k in range(0, len(shard), most):
-        block = range(k, min(k + most, len(shard)))
-        automaton = SuffixAutomaton()
-        for i in block:
-            automaton.add(coded[i].tolist())
-        hits = {i: list(automaton.matches(coded[i].tolist(), size)) for i in block}
-        earliest: dict[int, tuple[int, int]] = {}
-        for i in block:
-            doc, first, _ = shard[i]
-            for start, state in hits[i]:
-                here = (doc, first + start)
-                if here < earliest.get(state, (here[0] + 1, 0)):
-                    earliest[state] = here
-        for i, (doc, first, _) in enumerate(shard):
-            for start, state in hits[i] if i in hits else automaton.matches(coded[i].tolist(), size):
-                if earliest[state] < (doc, first + start):
-                    gone[i].add(start)
-    for (doc, first, _), starts in zip(shard, gone):
-        begin = previous = None
-        for s in sorted(starts):
-            if previous is not None and s == previous + 1 and s - begin < MAX_RUN:
-                previous = s
-                continue
-            if begin is not None:
-                yield doc, first + begin, previous - begin + 1
-            begin = previous = s
+    coded = [[numbers.setdefault(x, len(numbers)) for x in words.split()] for _, _, words in shard]
+    if len(shard) <= most:
+        gone = _later_windows([(doc, first, w) for (doc, first, _), w in zip(shard, coded)], size)
+    else:
+        # single windows; equal ones are dealt alike, whatever else is
+        places = [(k, i) for k, w in enumerate(coded) for i in range(len(w) - size + 1)]
+        n_parts = -(-len(places) // most)
+        part = np.fromiter((hash(tuple(coded[k][i : i + size])) % n_parts for k, i in places), np.int64, len(places))
+        order = np.argsort(part, kind="stable")
+        gone = []
+        for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            windows = [(places[x], shard[places[x][0]]) for x in own.tolist()]
+            gone += _later_windows([(doc, first + i, coded[k][i : i + size]) for (k, i), (doc, first, _) in windows], size)
+    begin = end = None
+    for doc, at in sorted(set(gone)):
+        if begin is not None and begin[0] == doc and at == end + 1 and at - begin[1] < MAX_RUN:
+            end = at
+            continue
         if begin is not None:
-            yield doc, first + begin, previous - begin + 1
+            yield *begin, end - begin[1] + 1
+        begin, end = (doc, at), at
+    if begin is not None:
+        yield *begin, end - begin[1] + 1
+
+
+def _later_windows(texts: list[tuple[int, int, list[int]]], size: int) -> list[tuple[int, int]]:
+    """(document, word) of the windows whose automaton state has an earlier window."""
+    automaton = SuffixAutomaton()
+    for _, _, words in texts:
+        automaton.add(words)
+    hits = [(state, doc, first + start) for doc, first, words in texts for start, state in automaton.matches(words, size)]
+    earliest: dict[int, tuple[int, int]] = {}
+    for state, doc, at in hits:
+        if (doc, at) < earliest.get(state, (doc + 1, 0)):
+            earliest[state] = (doc, at)
+    return [(doc, at) for state, doc, at in hits if earliest[state] < (doc, at)]
 
 
 def _match_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (h, doc, first, words) sorted by anchor; whole anchors are packed into shards."""
 
     def finish(shard: list) -> pa.RecordBatch:
-        out = list(repeated_windows(shard))
+        out = list(repeated_windows(shard, most=2 * SHARD))  # more only if one anchor has over SHARD segments
         doc, first, n = (np.array(c, np.int64) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
         return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(_at(first, n))], names=["doc", "at"])
 

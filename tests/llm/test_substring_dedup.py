@@ -55,7 +55,7 @@ def test_query_matches_brute_force(spark):
 
 @pytest.mark.parametrize("common", [False, True])
 def test_planted_passages(spark, monkeypatch, common):
-    if common:  # nearly every anchor is treated as a common one
+    if common:  # nearly every run is treated as a common one
         monkeypatch.setattr(S, "SAMPLE", 1.0)
         monkeypatch.setattr(S, "HOT_LEAST", 2)
     source = passages(random.Random(5))

@@ -4,8 +4,8 @@ Words are lower-cased runs of digits, letters and characters beyond ASCII. A
 seed is a fixed mask of word offsets; the words at its offsets are hashed, the
 others ignored, so a seed survives substituted words between them. The seeds of
 the benchmark are joined with those at every word of every document; around a
-hit, document and item are laid side by side without gaps, and the segment with
-the highest score (match 1, substitution -4, so at least four fifths match) is
+hit, document and item are laid side by side without gaps, and of the segments
+in which at least three quarters of the words match, the one with most matches is
 taken. A document holds an item's text when that segment has ``MIN_MATCHES``
 matching words, or ``MIN_SHARE`` of the item's words.
 
@@ -36,7 +36,7 @@ from cellar.llm.words import ALNUM, LOWER, U, Words, buffers, mix, slices
 #: offsets of the words a seed hashes; together they miss 0.4 % of 13 to 25 word passages with up to a fifth substituted
 MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 2, 6, 8, 9), (0, 2, 5, 6, 9, 10), (0, 1, 3, 4, 5, 10))
 MIN_MATCHES, MIN_SHARE, MIN_ITEM = 12, 0.8, 5
-MISMATCH = -4
+MISMATCH = -3  # against 1 for a match: a score of 0 is three quarters matching
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 20
 _COEFFICIENT = [int(x) | 1 for x in mix(np.arange(1, 17, dtype=U))]
@@ -110,12 +110,17 @@ class Index:
         lo, hi = max(0, -shift), min(int(self.n[item]), int(w.n[text]) - shift)
         a, b = self.first[item], w.first[text] + shift
         same = self.hashes[a + lo : a + hi] == h[b + lo : b + hi]
-        total = np.concatenate(([0], np.cumsum(np.where(same, 1, MISMATCH))))
-        low = np.minimum.accumulate(total)
-        end = int(np.argmax(total - low))
-        begin = int(np.argmax(total[: end + 1] == low[end]))  # the first of the lowest: the longest segment
-        n = end - begin
-        return int(same[begin:end].sum()), n, -(shift + lo + begin), -(lo + begin)
+        score = np.concatenate(([0], np.cumsum(np.where(same, 1, MISMATCH))))
+        matches = np.concatenate(([0], np.cumsum(same)))
+        low = np.minimum.accumulate(score)
+        # for each end, the first begin from where the score is not negative
+        begins = np.minimum(np.searchsorted(-low, -score, "left"), np.arange(len(score)))
+        end = int(np.argmax(matches - matches[begins]))
+        inner = np.flatnonzero(same[begins[end] : end]) + begins[end]  # ends on matching words
+        if not len(inner):
+            return 0, 0, 0, 0
+        begin, n = int(inner[0]), int(inner[-1] - inner[0]) + 1
+        return len(inner), n, -(shift + lo + begin), -(lo + begin)
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str):

@@ -31,7 +31,7 @@ def test_exact_passages_are_all_found_and_clean_documents_left(spark):
         doc = words_of(source[r["doc_id"]])[r["first_word"] : r["first_word"] + r["n_aligned"]]
         item = whole[r["item_id"]][r["item_first_word"] : r["item_first_word"] + r["n_aligned"]]
         same = sum(a == b for a, b in zip(doc, item))
-        assert same == r["n_matched"] and 5 * same >= 4 * r["n_aligned"]
+        assert same == r["n_matched"] and 4 * same >= 3 * r["n_aligned"]
 
 
 def test_substituted_passages(spark):
@@ -42,7 +42,7 @@ def test_substituted_passages(spark):
     rows, want = [], set()
     for k, item in enumerate(items):
         w = list(item)
-        for i in rng.sample(range(len(w)), len(w) // 8):
+        for i in rng.sample(range(len(w)), len(w) // 6):
             w[i] = "CHANGED"
         rows.append((k, ", ".join(line(200) + w + line(100)).upper()))
         want.add((k, k))

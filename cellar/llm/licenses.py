@@ -1,7 +1,8 @@
 """License scan: exact containment join of text blocks with license templates.
 
-A block is a line of a text; its tokens, and a template's, are sets of
-lower-cased words. A block matches a template when it has at least ``theta`` of
+A block is a line of a text or, with ``paragraphs``, also a paragraph of several
+lines (what blank lines part), so that a hard-wrapped notice is whole in one
+block. Its tokens, and a template's, are sets of lower-cased words. A block matches a template when it has at least ``theta`` of
 the template's tokens. Tokens are ordered by the number of blocks of the corpus
 that hold them, rarest first (counted over all documents). For a template of n
 tokens and the overlap o = ceil(theta * n) it needs,
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.llm.common import map_batches
-from cellar.llm.words import ALNUM, LOWER, Words, slices, span_hashes
+from cellar.llm.words import ALNUM, LOWER, NOT_SPACE, Words, slices, span_hashes
 
 #: fixed values: phrase and label
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -79,13 +80,30 @@ class Vocabulary:
         return np.where(self.sorted[at] == h, self.order[at], -1)
 
 
-def _blocks(w: Words) -> np.ndarray:
-    """The block (line) number of each word; a text's border parts blocks too."""
+def _lines(w: Words) -> np.ndarray:
+    """The line number of each word; a text's border parts lines too."""
     line = np.searchsorted(np.flatnonzero(w.data == 10), w.starts)
     return line + w.doc
 
 
-def block_frequencies(docs: DataFrame, tokens: list[str], text: str = "text") -> DataFrame:
+def _paragraphs(w: Words, line: np.ndarray) -> np.ndarray:
+    """The paragraph number of each word, -1 where its paragraph has one line of words only and so is that line."""
+    breaks = np.flatnonzero(w.data == 10)
+    filled = np.cumsum(NOT_SPACE[w.data])[breaks]
+    blank = breaks[1:][filled[1:] == filled[:-1]]
+    block = np.searchsorted(blank, w.starts) + w.doc
+    _, lead, own, size = np.unique(block, return_index=True, return_inverse=True, return_counts=True)
+    several = line[lead] < line[lead + size - 1]  # words stand in order, so a block's are a run
+    return np.where(several[own], block, -1)
+
+
+def _blocks(w: Words, paragraphs: bool) -> list[np.ndarray]:
+    """For each kind of block, the block number of each word (-1: in no block of the kind)."""
+    line = _lines(w)
+    return [line, _paragraphs(w, line)] if paragraphs else [line]
+
+
+def block_frequencies(docs: DataFrame, tokens: list[str], text: str = "text", paragraphs: bool = False) -> DataFrame:
     """(token, n): in how many blocks of all documents each token stands. Counted per batch before the shuffle."""
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,9 +112,10 @@ def block_frequencies(docs: DataFrame, tokens: list[str], text: str = "text") ->
         for _, _, offsets, data in slices(b.column(0)):
             w = Words(offsets, LOWER[data], ALNUM)
             number = vocabulary.numbers(w.hashes())
-            hit = np.flatnonzero(number >= 0)
-            pairs = np.unique(_blocks(w)[hit] * len(tokens) + number[hit])
-            total += np.bincount(pairs % len(tokens), minlength=len(tokens))
+            for block in _blocks(w, paragraphs):
+                hit = np.flatnonzero((number >= 0) & (block >= 0))
+                pairs = np.unique(block[hit] * len(tokens) + number[hit])
+                total += np.bincount(pairs % len(tokens), minlength=len(tokens))
         return pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(total)], names=["token", "n"])
 
     return map_batches(docs.select(F.col(text).cast("string")), one, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
@@ -120,12 +139,11 @@ class Index:
             place[ranks] = np.arange(len(ranks))
             self.templates.append((label, len(ranks), need, place))
 
-    def matches(self, w: Words, number: np.ndarray) -> list[tuple[np.ndarray, str, np.ndarray]]:
+    def matches(self, w: Words, number: np.ndarray, block: np.ndarray) -> list[tuple[np.ndarray, str, np.ndarray]]:
         """(texts, label, containment) for the blocks that reach a template's threshold."""
-        hit = np.flatnonzero(number >= 0)
+        hit = np.flatnonzero((number >= 0) & (block >= 0))
         if not len(hit):
             return []
-        block = _blocks(w)
         n_tokens = len(self.vocabulary.tokens)
         pairs, first = np.unique(block[hit] * n_tokens + number[hit], return_index=True)
         doc = w.doc[hit[first]]
@@ -161,13 +179,16 @@ class Index:
         return out
 
 
-def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, theta: float = THETA) -> DataFrame:
-    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches (label and containment of each matching block)."""
+def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES, phrases: dict[str, str] = PHRASES, theta: float = THETA, paragraphs: bool = False) -> DataFrame:
+    """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches (label and containment of each matching block).
+
+    ``paragraphs``: paragraphs of several lines are blocks beside the lines.
+    """
     tokens = sorted({t for x in (*templates.values(), *phrases) for t in words_of(x)})
     if len(tokens) > MAX_TOKENS:
         raise ValueError(f"templates have more than {MAX_TOKENS} tokens: scan them in groups")
     slim = docs.select(F.col(id), F.col(text).cast("string").alias("_text"))
-    frequency = {r["token"]: r["n"] for r in block_frequencies(slim, tokens, "_text").collect()}  # a row per template token
+    frequency = {r["token"]: r["n"] for r in block_frequencies(slim, tokens, "_text", paragraphs).collect()}  # a row per template token
     index = Index(templates, phrases, frequency, theta)
     kind = "struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:string,labels:string,score:double,matches:array<struct<label:string,containment:double>>>"
     result = T._parse_datatype_string(kind)
@@ -183,9 +204,10 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", templates: dic
             for label, at in index.places(w, number):
                 for d, x in zip(w.doc[at].tolist(), (at - w.first[w.doc[at]]).tolist()):
                     base.setdefault(d, []).append((x, label))
-            for texts, label, score in index.matches(w, number):
-                for d, s in zip(texts.tolist(), score.tolist()):
-                    found.setdefault(d, []).append((label, s))
+            for block in _blocks(w, paragraphs):
+                for texts, label, score in index.matches(w, number, block):
+                    for d, s in zip(texts.tolist(), score.tolist()):
+                        found.setdefault(d, []).append((label, s))
             for d in range(j - i):
                 places, hits = base.get(d, ()), found.get(d, ())
                 base_labels = {x for _, x in places}

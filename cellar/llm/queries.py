@@ -67,7 +67,7 @@ FROM sized GROUP BY conv_id
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import licenses
 
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+    return licenses.scan(table(spark, sf_dir, "documents"), paragraphs=True).drop("matches")
 
 
 @query

@@ -12,8 +12,10 @@ matching words, or ``MIN_SHARE`` of the item's words.
 The benchmark is the stated query set: it is cut into blocks of about
 ``BLOCK_WORDS`` words by a hash of its rows, each block's seeds go to every
 task, and the documents are scanned where they lie; no document is shuffled.
-Items shorter than a mask are found as exact runs of all their words; items of
-fewer than ``MIN_ITEM`` words are no evidence and are not searched.
+Items of up to ``SHORT_ITEM`` words have masks of their own length: whichever
+words ``MIN_SHARE`` allows to be substituted, one of them avoids all of these, so
+none is missed. Items of fewer than ``MIN_ITEM`` words are no evidence and are
+not searched.
 
 Null and empty texts hold nothing. Repeated benchmark rows each report;
 repeated documents are judged each by itself. Texts are scanned whole. An empty
@@ -23,6 +25,7 @@ benchmark leaves everything clean.
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +36,10 @@ from pyspark.sql import types as T
 from cellar.llm.common import map_batches
 from cellar.llm.words import ALNUM, LOWER, U, Words, buffers, mix, slices
 
-#: offsets of the words a seed hashes; together they miss 0.4 % of 13 to 25 word passages with up to a fifth substituted
+#: offsets of the words a seed hashes, for items of more than SHORT_ITEM words; together they miss 0.4 % of 13 to 25 word passages with up to a fifth substituted
 MASKS = ((0, 1, 2, 4, 5, 7), (0, 1, 2, 6, 8, 9), (0, 2, 5, 6, 9, 10), (0, 1, 3, 4, 5, 10))
 MIN_MATCHES, MIN_SHARE, MIN_ITEM = 12, 0.8, 5
+SHORT_ITEM = 14  # beyond it MIN_MATCHES words are enough
 MISMATCH = -3  # against 1 for a match: a score of 0 is three quarters matching
 BLOCK_WORDS = 500_000
 _FILTER_BITS = 20
@@ -55,6 +59,21 @@ def _seeds(doc: np.ndarray, h: np.ndarray, mask: tuple[int, ...], kind: int) ->
     return at, mix(total[at])
 
 
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Word places of an item of n words such that every set of substitutions that ``MIN_SHARE`` allows leaves one of the masks whole.
+
+    The item is cut into runs and each mask leaves out as many of them as words
+    may differ; the runs are as few as leave 6 words, or all that must match.
+    """
+    need = math.ceil(MIN_SHARE * n)
+    for parts in range(n - need + 1, n + 1):
+        runs = np.array_split(np.arange(n), parts)
+        masks = [tuple(int(x) for r in kept for x in r) for kept in combinations(runs, parts - (n - need))]
+        if min(map(len, masks)) >= min(6, need):
+            break
+    return masks
+
+
 class Index:
     """Seeds of one block of benchmark items."""
 
@@ -62,14 +81,20 @@ class Index:
         offsets, data = buffers(pa.array(texts, pa.string()))
         w = Words(offsets, LOWER[data], ALNUM)
         self.n, self.first, self.hashes, doc = w.n, w.first, w.hashes(), w.doc
-        shortest = max(m[-1] + 1 for m in MASKS)
-        self.masks = [*MASKS, *(tuple(range(int(k))) for k in np.unique(self.n) if MIN_ITEM <= k < shortest)]
+        shapes: dict[tuple[int, ...], list[tuple[int, int]]] = {}  # a mask from offset 0: the lengths of its items, and its first place in them
+        for k in np.unique(self.n[(self.n >= MIN_ITEM) & (self.n <= SHORT_ITEM)]).tolist():
+            for places in short_masks(k):
+                shapes.setdefault(tuple(x - places[0] for x in places), []).append((k, places[0]))
+        self.masks = [*MASKS, *shapes]
         self.tables = []
         for kind, mask in enumerate(self.masks):
             at, seed = _seeds(doc, self.hashes, mask, kind)
-            if kind >= len(MASKS):  # whole short items only
-                whole = self.n[doc[at]] == len(mask)
-                at, seed = at[whole], seed[whole]
+            n, place = self.n[doc[at]], at - self.first[doc[at]]
+            if kind < len(MASKS):
+                own = n > SHORT_ITEM
+            else:
+                own = np.any([(n == k) & (place == x) for k, x in shapes[mask]], axis=0)
+            at, seed = at[own], seed[own]
             order = np.argsort(seed, kind="stable")
             seed = seed[order]
             self.tables.append((seed, at[order], self._filter(seed)))

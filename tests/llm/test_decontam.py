@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+from itertools import combinations
 
 import pytest
 
@@ -74,3 +76,49 @@ def test_blocks_of_the_benchmark_together_find_all(spark, monkeypatch, size):
     rows = [(k, "before " + t + " after") for k, t in items] + [(99, "clean text")]
     assert {(r["doc_id"], r["item_id"]) for r in D.overlaps(docs(spark, rows), bench(spark, items)).collect()} == {(k, k) for k in range(10)}
     assert [r["doc_id"] for r in D.drop_leaks(docs(spark, rows), bench(spark, items)).collect()] == [99]
+
+
+def brute_short(rows, items):
+    """(document, item) where on some diagonal MIN_SHARE of a short item's words match."""
+    out = set()
+    for d, text in rows:
+        w = words_of(text)
+        for k, item in items:
+            q = words_of(item)
+            need = math.ceil(D.MIN_SHARE * len(q))
+            if any(sum(0 <= s + i < len(w) and w[s + i] == x for i, x in enumerate(q)) >= need for s in range(-len(q), len(w))):
+                out.add((d, k))
+    return out
+
+
+def substituted_short_items():
+    """Items of 5 to 14 words, and documents with each set of up to two of an item's words (and some sets of three) substituted."""
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in "bcdfgk" for b in "aeiou"]
+    line = lambda n: [rng.choice(words) + rng.choice(words) for _ in range(n)]
+    items = [(n, line(n)) for n in range(5, 15)]
+    items += [(20 + n, items[n - 5][1][:-2] + line(2)) for n in range(7, 15)]  # much alike
+    rows = []
+    for _, item in items:
+        three = list(combinations(range(len(item)), 3))
+        for places in [(), *((i,) for i in range(len(item))), *combinations(range(len(item)), 2), *rng.sample(three, min(12, len(three)))]:
+            w = ["other" if i in places else x for i, x in enumerate(item)]
+            rows.append((len(rows), " ".join([*line(rng.choice([0, 0, 3])), *w, *line(rng.choice([0, 0, 3]))])))
+        rows += [(len(rows), " ".join(item[2:])), (len(rows) + 1, " ".join(item[:-2])), (len(rows) + 2, " ".join(item[1:-1]))]
+    return rows, [(k, " ".join(x)) for k, x in items]
+
+
+def test_substitutions_in_short_items_match_brute_force(spark):
+    rows, items = substituted_short_items()
+    want = brute_short(rows, items)
+    got = D.overlaps(docs(spark, rows), bench(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert all(sum(k == n for _, k in want) > n for n in range(5, 15))
+    left = D.drop_leaks(docs(spark, rows), bench(spark, items))
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted({d for d, _ in rows} - {d for d, _ in want})
+
+
+def test_short_masks_avoid_all_allowed_substitutions():
+    for n in range(D.MIN_ITEM, D.SHORT_ITEM + 1):
+        masks = [set(m) for m in D.short_masks(n)]
+        assert all(any(not m & set(gone) for m in masks) for gone in combinations(range(n), n - math.ceil(D.MIN_SHARE * n)))

@@ -4,7 +4,8 @@ A list entry is dated: (pattern, action, since), action ``block``, ``allow`` or
 ``remove``. Per pattern, entries become validity intervals: each holds from its
 date until the pattern's next entry; ``remove`` ends the one before. A pattern
 is a host, which covers its subdomains, or a host with path segments, which
-covers the paths that begin with them. Of the intervals that hold a capture's
+covers the paths that begin with them; hosts are compared without case, paths
+with it. Of the intervals that hold a capture's
 fetch time, the longest pattern decides; without one the capture is allowed.
 
 As-of join: intervals are cut at ``BUCKET_DAYS`` boundaries and joined on
@@ -50,10 +51,16 @@ def patterns_of(url: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(suffixes, prefixes)))
 
 
+def _listed(pattern: Column) -> Column:
+    """A pattern as ``patterns_of`` writes it: what stands before its first ``/`` in lower case."""
+    host = F.regexp_extract(pattern, r"^[^/]*", 0)
+    return F.concat(F.lower(host), F.substr(pattern, F.char_length(host) + 1))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(pattern, action, valid_from, valid_to) from entries (pattern, action, since); ``valid_to`` is exclusive, null while the entry is the last."""
     rank = F.when(F.col("action") == "block", 3).when(F.col("action") == "allow", 2).when(F.col("action") == "remove", 1)
-    clean = entries.select(F.lower("pattern").alias("pattern"), "action", F.col("since").cast("date").alias("since"), rank.alias("_rank")).where("pattern IS NOT NULL AND since IS NOT NULL AND _rank IS NOT NULL")
+    clean = entries.select(_listed(F.col("pattern")).alias("pattern"), "action", F.col("since").cast("date").alias("since"), rank.alias("_rank")).where("pattern IS NOT NULL AND since IS NOT NULL AND _rank IS NOT NULL")
     one = clean.groupBy("pattern", "since").agg(F.max(F.struct("_rank", "action")).alias("a"))
     following = Window.partitionBy("pattern").orderBy("since")
     spans = one.select("pattern", F.col("a.action").alias("action"), F.col("since").alias("valid_from"), F.lead("since").over(following).alias("valid_to"))

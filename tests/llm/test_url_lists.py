@@ -72,3 +72,41 @@ def test_edge_rows(spark, monkeypatch):
         assert sorted((r["id"], r["blocked"]) for r in got.collect()) == want and "_u" in got.columns
     assert L.judge(captures(spark, []), entries(spark, listed)).count() == 0
     assert [r["blocked"] for r in L.judge(captures(spark, urls), entries(spark, [])).collect()] == [False] * len(urls)
+
+
+def brute_with_case(urls, listed):
+    """Verdicts by going through all entries; a pattern's host has no case, its path has."""
+    rank = {"block": 3, "allow": 2, "remove": 1}
+    dated = {}
+    for p, a, since in listed:
+        host, slash, path = p.partition("/")
+        dated.setdefault(host.lower() + slash + path, []).append((since, rank[a], a))
+    out = []
+    for k, url, day in urls:
+        host, _, path = url.split("://", 1)[1].partition("/")
+        best = (0,)
+        for p, entries_ in dated.items():
+            name, _, prefix = p.partition("/")
+            covers = host.lower() == name and (path + "/").startswith(prefix + "/") if prefix else ("." + host.lower()).endswith("." + name)
+            active = max((x for x in entries_ if x[0] <= day), default=None)
+            if covers and active and active[2] != "remove":
+                best = max(best, (len(p), p, active[2], active[0]))
+        out.append((k, best[2:3] == ("block",), *(best[1:] if best[1:] else (None, None, None))))
+    return sorted(out, key=str)
+
+
+def test_paths_keep_their_case_and_hosts_do_not(spark):
+    rng = random.Random(11)
+    hosts, paths = ["a.com", "m.a.com", "M.A.com", "D.org"], ["", "/News", "/news", "/News/Q", "/NEWS/q", "/\u00c4/x"]
+    urls = [(i, f"http://{rng.choice(hosts)}{rng.choice(paths)}", DAY + dt.timedelta(rng.randrange(400))) for i in range(300)]
+    listed = [(rng.choice(hosts) + rng.choice(paths), rng.choice(["block", "allow", "remove"]), DAY + dt.timedelta(rng.randrange(-50, 420))) for _ in range(60)]
+    got = L.judge(captures(spark, urls), entries(spark, listed)).select("id", "blocked", "pattern", "action", "valid_from")
+    want = brute_with_case(urls, listed)
+    assert sorted(map(tuple, got.collect()), key=str) == want and any("/N" in (r[2] or "") for r in want)
+
+
+def test_query_allows_paths_with_upper_case(spark, tmp_path):
+    rows = [(i, "http://m.a.com/News/1") for i in range(730)]  # a capture for each day that the query gives
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op7_url_lists(spark, str(tmp_path)).where("action = 'allow'").select("pattern", "fetched").collect()
+    assert {r["pattern"] for r in got} == {"m.a.com/News"} and len(got) == sum(dt.date(2023, 1, 1) + dt.timedelta(i * 37 % 730) >= dt.date(2023, 6, 1) for i in range(730))

@@ -80,19 +80,20 @@ def pooled_recommendations(predictions: DataFrame, neighbours: DataFrame, n: int
     """T8 + M22: pool the top-N lists of the neighbours; for an item rated by
     several neighbours the most similar neighbour's estimate wins (D15); the
     n best items overall, exactly n rows when enough exist. Items of
-    ``exclude`` (e.g. those the target has rated) are left out.
+    ``exclude`` (e.g. those the target has rated) are left out before the lists
+    are cut.
 
     ``neighbours`` is a top-n result; Spark sees its limit and picks the join.
     """
     w = Window.partitionBy("uid").orderBy(F.desc("est"), F.asc("item_id"))
     nb = neighbours.select("uid", F.col("rank").alias("nb_rank"))
+    if exclude is not None:
+        predictions = predictions.join(exclude.select("item_id"), "item_id", "left_anti")
     lists = predictions.join(nb, "uid").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_user)
     pooled = lists.groupBy("item_id").agg(
         F.min_by(F.col("est"), F.col("nb_rank")).alias("est"),
         F.min("nb_rank").alias("from_rank"),
     )
-    if exclude is not None:
-        pooled = pooled.join(exclude.select("item_id"), "item_id", "left_anti")
     return pooled.orderBy(F.desc("est"), F.asc("item_id")).limit(n)
 
 
@@ -109,7 +110,7 @@ def recommend_new_user(
     """M20 + M21 + M22 + J6: from a new user's profile (item_id, score) to a decorated list.
 
     The profile is appended as a new user, the users most correlated with it are
-    found, their top lists are pooled without the profile's own items, and the n
+    found, their top lists of items outside the profile are pooled, and the n
     best are decorated. ``candidates`` (D15b): "unseen", items a neighbour has
     not rated, or "heldout", the pairs of ``heldout``. Only the neighbours'
     candidates are scored.
@@ -118,7 +119,10 @@ def recommend_new_user(
     nb = similar_users(extended, uid, neighbours_n, mode="pairwise", min_overlap=min_overlap)
     few = small_side(nb.select("uid"), neighbours_n)
     if candidates == "unseen":
-        lists = factor.top_n_unseen(model, ratings.join(few, "uid", "left_semi"), nb, per_user)
+        # the profile's items are seen for every neighbour (one user's items: one array)
+        known = profile.agg(F.collect_set("item_id")).scalar()
+        seen = ratings.join(few, "uid", "left_semi").select("uid", "item_id").unionByName(nb.select("uid", F.explode(known).alias("item_id")))
+        lists = factor.top_n_unseen(model, seen, nb, per_user)
     elif candidates == "heldout" and heldout is not None:
         lists = factor.predict_baseline(model, heldout.join(few, "uid", "left_semi"))
     else:

@@ -601,3 +601,28 @@ s.stop()
     env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 5000" in out.stdout, out.stderr[-2000:]
+
+
+def test_own_items_leave_the_lists_before_they_are_cut(spark):
+    """The neighbours' ten best items are all in the target's profile; the n best others come out."""
+    from cellar.operators import factor
+    from cellar.recommenders import CollabRecommender
+
+    rated = [(100 + u, i, 5.0 if i < 15 else 2.0 + (i % 3)) for u in range(8) for i in range(30)]
+    profile = [(i, float(1 + i % 5)) for i in range(15)]
+    near = [(u, i, float(1 + i % 5)) for u in range(1, 6) for i in range(3)]
+    df = spark.createDataFrame(rated + near, "uid long, item_id long, score double")
+    mine = spark.createDataFrame(profile, "item_id long, score double")
+    model = factor.fit_baseline(df)
+    bias = {r["item_id"]: r["b_i"] for r in model.item_bias.collect()}
+    best = sorted(set(range(15, 30)), key=lambda i: (-bias[i], i))[:5]
+    attributes = df.select("item_id").distinct()
+    out = neighbours.recommend_new_user(df, mine, model, attributes, n=5).collect()
+    assert sorted(r["item_id"] for r in out) == sorted(best)
+    preds = spark.createDataFrame([(u, i, 0.0, 5.0 - i / 100) for u in (1, 2) for i in range(30)], "uid long, item_id long, true_r double, est double")
+    nb = spark.createDataFrame([(1, 1), (2, 2)], "uid long, rank long")
+    pooled = neighbours.pooled_recommendations(preds, nb, n=5, exclude=mine).collect()
+    assert sorted(r["item_id"] for r in pooled) == list(range(15, 20))
+    known = CollabRecommender(df.unionByName(mine.selectExpr("200L AS uid", "item_id", "score")))
+    known.model = model
+    assert known.recommend_for(200, n=5).count() == 5

@@ -156,3 +156,34 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellar.llm import html_crf
 
     return html_crf.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import lexical_search
+
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# whole numbers throughout, but for the weight of a term
+ORACLE["op13_lexical_search"] = r"""
+WITH words AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+tf AS (SELECT rid, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lens AS (SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY rid),
+tot AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM lens),
+q AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, tot WHERE term IN (SELECT term FROM q) GROUP BY term),
+hits AS (
+  SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // l))) AS s
+  FROM tf JOIN w USING (term) JOIN lens USING (rid), tot),
+scored AS (SELECT item_id, rid, doc_id, CAST(sum(times * s) AS BIGINT) AS score FROM hits JOIN q USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""

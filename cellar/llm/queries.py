@@ -187,3 +187,54 @@ SELECT item_id, rank, doc_id, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
 WHERE rank <= 20
 """
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import conversation_repair
+
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversation_repair.digests(rows, gone="gone")
+
+
+# crc32 bit by bit; then the least (cost, letters) of each state, turn by turn: 0 nothing, 1 system, 2 user, 3 assistant came last
+ORACLE["op11_conversation_repair"] = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) AS crc FROM conversations),
+hashed AS (SELECT *, xor(crc, 4294967295) % 20 AS h FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM hashed WHERE h <> 0),
+lasts AS (
+  SELECT *, right(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1) AS e, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged),
+turns AS (
+  SELECT conv_id, turn, role, text, CASE WHEN e = '' THEN 1 WHEN nth > 1 THEN 2 WHEN e NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, left(role, 1) AS c,
+    row_number() OVER w AS pos, left(lag(role) OVER w, 1) AS c0 FROM lasts WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth)),
+ins(q, q2, n, lines) AS (VALUES (0, 0, 0, []), (1, 1, 0, []), (2, 2, 0, []), (3, 3, 0, []), (0, 2, 1, ['user:']), (1, 2, 1, ['user:']), (3, 2, 1, ['user:']), (2, 3, 1, ['assistant:']),
+  (0, 3, 2, ['user:', 'assistant:']), (1, 3, 2, ['user:', 'assistant:'])),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+dp(conv_id, pos, state, v) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} FROM convs
+  UNION ALL
+  SELECT conv_id, pos, state, min(v) FROM (
+    SELECT d.conv_id, t.pos, CASE e.e WHEN 'D' THEN i.q2 WHEN 'K' THEN CASE t.c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE CASE i.q2 WHEN 2 THEN 3 ELSE 2 END END AS state,
+      {'cost': d.v.cost + 5 * i.n + CASE e.e WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN e.e <> 'D' AND t.fault = 3 THEN 5 ELSE 0 END,
+       'audit': d.v.audit || repeat('I', i.n) || e.e,
+       'lines': list_concat(d.v.lines, i.lines, CASE e.e WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text] ELSE [CASE i.q2 WHEN 2 THEN 'assistant:' ELSE 'user:' END || t.text] END)} AS v
+    FROM dp d JOIN turns t ON t.conv_id IS NOT DISTINCT FROM d.conv_id AND t.pos = d.pos + 1 JOIN ins i ON i.q = d.state, (VALUES ('D'), ('K'), ('R')) e(e)
+    WHERE e.e = 'D' OR t.fault NOT IN (1, 2) AND (e.e = 'R' OR (t.c = 's' AND i.q2 = 0) OR (t.c = 'u' AND i.q2 <> 2) OR (t.c = 'a' AND i.q2 = 2)))
+  GROUP BY conv_id, pos, state),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (c0 IS NOT NULL AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id),
+ended AS (
+  SELECT d.conv_id, min({'cost': v.cost + 5 * e.n, 'audit': v.audit || repeat('I', e.n), 'lines': list_concat(v.lines, e.lines)}) AS v
+  FROM dp d LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM d.conv_id JOIN (VALUES (0, 0, []), (1, 2, ['user:', 'assistant:']), (2, 1, ['assistant:']), (3, 0, [])) e(q, n, lines) ON e.q = d.state
+  WHERE d.pos = coalesce(f.n, 0) GROUP BY d.conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  v.cost AS cost, v.audit AS audit, sha256(array_to_string(v.lines, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

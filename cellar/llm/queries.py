@@ -238,3 +238,10 @@ SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   v.cost AS cost, v.audit AS audit, sha256(array_to_string(v.lines, chr(10))) AS repaired_sha256
 FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
 """
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellar.llm import toxicity
+
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -65,6 +65,7 @@ LANDMARKS, ROUNDS, MAX_STRINGS = 512, 3, 20_000
 COST, RIDGE = 1e4, 1e-2
 CHANCE, TELLING = 8.0, 5.0  # a word stands out: likelihood ratio, ratio of its rates
 SLICE_CHARS = 1 << 18
+BLOCK = 2048  # strings that are mapped at a time in training
 NONE = -1.0  # worst string of a text that has none
 
 U = np.uint32
@@ -176,8 +177,12 @@ class Landmarks:
         good = values > 1e-6 * values[-1]
         self.whiten = vectors[:, good] / np.sqrt(values[good])
 
-    def mapped(self, s: Strings) -> np.ndarray:
+    def mapped(self, strings: list[str]) -> np.ndarray:
         """The Nyström map of every string: its kernel values with the landmarks, whitened."""
+        parts = [self._mapped(Strings(strings[i : i + BLOCK])).astype(np.float32) for i in range(0, len(strings), BLOCK)]
+        return np.concatenate([np.zeros((0, self.whiten.shape[1]), np.float32), *parts])
+
+    def _mapped(self, s: Strings) -> np.ndarray:
         n = len(s.first)
         out = np.zeros(n * self.n)
         for inside, codes, weight in subsequences(s.chars, s.number):
@@ -266,26 +271,35 @@ def _different(sets: list[set[str]]) -> list[set[str]]:
 
 def _newton(z: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
     """Squared hinge loss, strings weighted by their documents within each class, ridge on all but the bias."""
-    x = np.column_stack([z, np.ones(len(z))])
     weight = COST * times / np.where(y > 0, times[y > 0].sum(), times[y < 0].sum())
-    w, eye = np.zeros(x.shape[1]), np.eye(x.shape[1])
-    eye[-1, -1] = 1e-6
+    n = z.shape[1] + 1
+    w, ridge = np.zeros(n), np.ones(n)
+    ridge[-1] = 1e-6
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(z), BLOCK)]
+
+    def gaps(w):
+        return np.concatenate([1 - y[b] * (z[b] @ w[:-1] + w[-1]) for b in blocks])
 
-    def loss(w):
-        gap = np.maximum(1 - y * (x @ w), 0)
-        return (weight * gap * gap).sum() + w @ eye @ w
+    def loss(gap, w):
+        gap = np.maximum(gap, 0)
+        return (weight * gap * gap).sum() + w @ (ridge * w)
 
-    now = loss(w)
+    gap = gaps(w)
+    now = loss(gap, w)
     for _ in range(30):
-        act = y * (x @ w) < 1
-        xa = x[act] * weight[act, None]
-        step = np.linalg.solve(xa.T @ x[act] + eye, eye @ w - xa.T @ (y[act] - x[act] @ w))
+        curve, slope = np.diag(ridge), ridge * w
+        for b in blocks:
+            act = np.flatnonzero(gap[b] > 0)
+            x = np.column_stack([z[b][act], np.ones(len(act))])
+            curve += (x * weight[b][act, None]).T @ x
+            slope -= x.T @ (weight[b] * gap[b] * y[b])[act]
+        step = np.linalg.solve(curve, slope)
         size = 1.0
-        while (then := loss(w - size * step)) > now and size > 1e-6:
+        while (then := loss(new := gaps(w - size * step), w - size * step)) > now and size > 1e-6:
             size /= 2
         if then > now - 1e-9 * abs(now):
             break
-        w, now = w - size * step, then
+        w, now, gap = w - size * step, then, new
     return w[:-1], w[-1]
 
 
@@ -317,22 +331,24 @@ def fit_machine(bad: list[str], good: list[str]) -> Machine:
     n_odd = np.array([bad_often[w] / 4 for w, _ in odd])
     chosen, hard = sure.copy(), []
     first = telling[: LANDMARKS // 2]
-    for _ in range(ROUNDS):
-        rest = hard + [w for w in (known or suspect) if w not in set(hard) | set(first)][: LANDMARKS - len(first) - len(hard)]
-        landmarks = Landmarks(first + rest or ["none"])
-        w, bias = np.zeros(landmarks.whiten.shape[1]), -1.0
-        if not chosen.any() or not len(clean):
-            break
-        z_bad, z_good = landmarks.mapped(Strings(suspect)), landmarks.mapped(Strings(clean))
-        z_odd = landmarks.mapped(Strings([v for _, v in odd]))
-        w, bias = _newton(np.concatenate([z_bad[chosen], z_odd, z_good]), np.concatenate([np.ones(chosen.sum() + len(odd)), y_good]), np.concatenate([n_bad[chosen], n_odd, n_good]))
-        margin = z_bad @ w + bias
+    all_bad, all_good = Strings(suspect), Strings(clean)
+    machine = Machine(np.zeros(0, np.int64), np.zeros(0), -1.0)
+    for _ in range(ROUNDS if chosen.any() and len(clean) else 0):
+        rest = hard + [w for w in known if w not in set(hard) | set(first)][: LANDMARKS - len(first) - len(hard)]
+        landmarks = Landmarks(first + rest)
+        bad_now = np.flatnonzero(chosen)
+        z = landmarks.mapped([suspect[i] for i in bad_now] + [v for _, v in odd] + clean)
+        w, bias = _newton(z, np.concatenate([np.ones(len(z) - len(clean)), y_good]), np.concatenate([n_bad[bad_now], n_odd, n_good]))
+        machine = Machine(*landmarks.weights(w), bias)
+        margin = machine.margins(all_bad)
         chosen = (sure | (margin > 0.5)) if len(telling) else margin > 0
         for b in bags:
             if len(b) and not chosen[b].any() and margin[b].max() > 0:
                 chosen[b[margin[b].argmax()]] = True
-        hard = [clean[i] for i in np.argsort(-(z_good @ w), kind="stable")[: LANDMARKS // 4].tolist()]
-    return Machine(*landmarks.weights(w), bias)
+        if not chosen.any():
+            break
+        hard = [clean[i] for i in np.argsort(-machine.margins(all_good), kind="stable")[: LANDMARKS // 4].tolist()]
+    return machine
 
 
 class Calibration:

@@ -36,7 +36,7 @@ def test_kernel_equals_brute_force_and_the_machine_its_landmarks():
     r = random.Random(2)
     words = sorted({"".join(r.choices("abcdé", k=r.randint(2, 9))) for _ in range(40)})
     landmarks, s = X.Landmarks(words[:12]), X.Strings(words)
-    z = landmarks.mapped(s)
+    z = landmarks._mapped(s)
     own = [f" {w} " for w in words]
     want = np.array([[brute_kernel(a, b) for b in own[:12]] for a in own])
     assert np.allclose(z[:12] @ z[:12].T, want[:12], atol=1e-5)  # the map gives the kernel back among landmarks

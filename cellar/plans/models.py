@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import rnd
-from cellar.operators import evaluate, factor
+from cellar.operators import evaluate, factor, inner_product, sgd
 from cellar.plans.registry import query, sql
 from cellar.session import scratch_path
 from cellar.sources.tables import Tables, fold_of, train_test
@@ -374,6 +374,68 @@ def biased_mf_recommend_all_ranks(t: Tables):
     return _rank_rows(biased_mf_recommend_all(t))
 
 
+@query("als_max_inner_product")
+def als_max_inner_product(t: Tables):
+    """M5 + J10: the lists of ``als_recommend_all`` from a search that leaves out blocks of items by their bounds."""
+    model, _, _ = _als_fit(t)
+    return inner_product.search(model.userFactors, model.itemFactors, K_TOP)[0]
+
+
+@query("als_max_inner_product_agrees", sql(f"SELECT DISTINCT uid, {K_TOP} AS n, true AS agrees FROM train"))
+def als_max_inner_product_agrees(t: Tables):
+    """M5: for every training user, the bounded search gives the list that all products give."""
+    model, _, _ = _als_fit(t)
+    a = inner_product.search(model.userFactors, model.itemFactors, K_TOP)[0]
+    b = factor.recommend_all(model.userFactors, model.itemFactors, K_TOP)
+    both = a.join(b.select("uid", "rank", F.col("item_id").alias("other"), F.col("est").alias("other_est")), ["uid", "rank"], "full")
+    same = F.col("item_id").eqNullSafe(F.col("other")) & F.col("est").eqNullSafe(F.col("other_est"))
+    return both.groupBy("uid").agg(F.count(F.lit(1)).cast("int").alias("n"), F.bool_and(same).alias("agrees"))
+
+
+@query("svd_predictions")
+def svd_predictions(t: Tables):
+    """M2 + M3: biases and factors fitted jointly by stochastic gradient (100 factors, 20 epochs), a row for every test row."""
+    train, test = train_test(t.ratings_table())
+    return sgd.predict(sgd.fit_svd(train), test)
+
+
+@query("svd_prediction_rows", sql("SELECT uid, item_id, score AS true_r, true AS in_range FROM test"))
+def svd_prediction_rows(t: Tables):
+    """M2: every test row is predicted within the scale, unseen users and items too."""
+    return svd_predictions(t).select("uid", "item_id", "true_r", _in_range())
+
+
+@query("svd_recommend_all")
+def svd_recommend_all(t: Tables):
+    """M6 + J10: every training user's 10 best items by the jointly fitted model."""
+    train, _ = train_test(t.ratings_table())
+    return sgd.recommend_all(sgd.fit_svd(train), K_TOP)[0]
+
+
+@query("svd_recommend_all_ranks", sql(_RANKS))
+def svd_recommend_all_ranks(t: Tables):
+    """M6: every training user has ranks 1 to 10, different items, estimates that do not rise."""
+    return _rank_rows(svd_recommend_all(t))
+
+
+@query("nmf_predictions")
+def nmf_predictions(t: Tables):
+    """M8 + M3: non-negative factors by multiplicative updates, test rows of known users and items."""
+    train, test = train_test(t.ratings_table())
+    return sgd.predict(sgd.fit_nmf(train), test, known_only=True)
+
+
+@query("nmf_factor_rows", sql(f"""
+SELECT 0 AS side, uid AS id, {sgd.NMF_RANK} AS rank, true AS nonnegative, count(*) AS n FROM train GROUP BY uid
+UNION ALL SELECT 1, item_id, {sgd.NMF_RANK}, true, count(*) FROM train GROUP BY item_id
+"""))
+def nmf_factor_rows(t: Tables):
+    """M8 + M4: one factor row per training user and item, with its ratings counted and no negative value."""
+    train, _ = train_test(t.ratings_table())
+    state = sgd.fit_nmf(train).state
+    return state.select("side", "id", F.size("factors").alias("rank"), F.forall("factors", lambda x: x >= 0).alias("nonnegative"), "n")
+
+
 FOLDS = 3
 ALS_GRID = [(r, reg) for r in (10, 50, 100) for reg in (0.01, 0.05, 0.1)]
 RESIDUAL_GRID = [(n, reg) for n in (10, 20) for reg in (0.4, 0.5, 0.6)]
@@ -424,6 +486,8 @@ def model_comparison(t: Tables):
         return factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train), test))
 
     models = {"baseline": baseline, "normal": factor.normal_predictor, "biased_mf": _residual_model(), "als_nonneg": evaluate.by_estimator(factor.als())}
+    models["svd"] = lambda train, test: sgd.predict(sgd.fit_svd(train), test)
+    models["nmf"] = lambda train, test: sgd.predict(sgd.fit_nmf(train), test, known_only=True)
     table = evaluate.cross_validate(models, t.ratings_table(), FOLDS)
     return table.groupBy("model").agg(rnd(F.avg("rmse"), 3).alias("rmse"), rnd(F.avg("mae"), 3).alias("mae"))
 

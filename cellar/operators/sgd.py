@@ -16,7 +16,7 @@ Multiplicative updates: every cell sums up its users' (or items') numerators and
 denominators, which are added per user (or item) afterwards.
 
 The state is written to the shared folder after every epoch, so a lost executor
-costs an epoch at most. A group holds the ratings of a cell and the factors of
+costs an epoch at most; a grid of one cell does all its epochs in one group. A group holds the ratings of a cell and the factors of
 two blocks; ``blocks`` grows with the ratings. A pair must be rated once.
 """
 
@@ -57,7 +57,7 @@ def _dealt(train: DataFrame, blocks: int | None) -> tuple[DataFrame, int]:
     """Ratings with their cell, and the number of blocks."""
     r = train.select(F.col("uid").cast("long").alias("uid"), F.col("item_id").cast("long").alias("item_id"), F.col("score").cast("double").alias("score")).where("uid IS NOT NULL AND item_id IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
     n = r.count()
-    blocks = blocks or max(1, math.ceil(math.sqrt(n / CELL_RATINGS)), min(r.sparkSession.sparkContext.defaultParallelism, n // 20_000))
+    blocks = blocks or max(1, math.ceil(math.sqrt(n / CELL_RATINGS)))
     cell = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     return r.withColumn("ub", cell("uid")).withColumn("ib", cell("item_id")), blocks
 
@@ -98,7 +98,7 @@ def _levels(pdf: pd.DataFrame) -> pd.DataFrame:
 _CELL = "g int, kind int, block int, id long, item long, n long, bias double, factors array<double>, score double, level int"
 
 
-def _step(mu: float, rate: float, reg: float, s: int, blocks: int):
+def _step(mu: float, rate: float, reg: float, epochs: int):
     """One cell: all its ratings, level by level."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -112,7 +112,7 @@ def _step(mu: float, rate: float, reg: float, s: int, blocks: int):
             order = np.argsort(r["level"].to_numpy(), kind="stable")
             u, i, score, level = u[order], i[order], r["score"].to_numpy()[order], r["level"].to_numpy()[order]
             edge = np.searchsorted(level, np.arange(level[-1] + 2))
-            for lo, hi in zip(edge, edge[1:]):
+            for lo, hi in list(zip(edge, edge[1:])) * epochs:
                 a, b = u[lo:hi], i[lo:hi]
                 p, q = f[a], f[b]
                 e = score[lo:hi] - (mu + bias[a] + bias[b] + (p * q).sum(axis=1))
@@ -136,7 +136,8 @@ def fit_svd(train: DataFrame, rank: int = RANK, epochs: int = EPOCHS, rate: floa
     ordered = dealt.withColumn("order", F.xxhash64("uid", "item_id", F.lit(seed)))
     ratings = materialize(ordered.groupBy("ub", "ib").applyInPandas(_levels, "ub int, ib int, uid long, item_id long, score double, level int"), "factor-ratings")
     none = lambda t: F.lit(None).cast(t)
-    for _ in range(epochs):
+    inner = epochs if blocks == 1 else 1
+    for _ in range(epochs // max(inner, 1)):
         for s in range(blocks):
             mine = state.select(
                 F.when(F.col("side") == 0, F.col("block")).otherwise(F.pmod(F.col("block") - s, F.lit(blocks))).alias("g"),
@@ -146,7 +147,7 @@ def fit_svd(train: DataFrame, rank: int = RANK, epochs: int = EPOCHS, rate: floa
                 F.col("ub").alias("g"), F.lit(2).alias("kind"), F.col("ib").alias("block"), F.col("uid").alias("id"), F.col("item_id").alias("item"),
                 none("long").alias("n"), none("double").alias("bias"), none("array<double>").alias("factors"), "score", "level",
             )
-            state = mine.unionByName(cells).groupBy("g").applyInPandas(_step(mu, rate, reg, s, blocks), STATE)
+            state = mine.unionByName(cells).groupBy("g").applyInPandas(_step(mu, rate, reg, inner), STATE)
         state = materialize(state, "factor-state")
     return Factors(mu, state)
 
@@ -190,6 +191,28 @@ def _updated(reg: float):
     return fn
 
 
+def _whole_grid(state: DataFrame, ratings: DataFrame, epochs: int, reg: float) -> DataFrame:
+    """All epochs of a grid of one cell."""
+
+    def fn(key, old: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        f, side, n = np.stack(old["factors"].to_numpy()), old["side"].to_numpy(), old["n"].to_numpy()[:, None]
+        at = [np.flatnonzero(side == s) for s in (0, 1)]
+        who = [at[s][pd.Index(old["id"].to_numpy()[at[s]]).get_indexer(r[c])] for s, c in ((0, "uid"), (1, "item_id"))]
+        score = r["score"].to_numpy()[:, None]
+        for _ in range(epochs):
+            for own, other in (who, who[::-1]):
+                order = np.argsort(own, kind="stable")
+                ids, begin = np.unique(own[order], return_index=True)
+                q = f[other[order]]
+                est = (f[own[order]] * q).sum(axis=1)[:, None]
+                top, bottom = np.add.reduceat(score[order] * q, begin, axis=0), np.add.reduceat(est * q, begin, axis=0)
+                f[ids] *= top / np.maximum(bottom + reg * n[ids] * f[ids], 1e-12)
+        return old.assign(factors=list(f))
+
+    one = F.lit(0).alias("g")
+    return state.groupBy(one).cogroup(ratings.groupBy(one)).applyInPandas(fn, STATE)
+
+
 def fit_nmf(train: DataFrame, rank: int = NMF_RANK, epochs: int = NMF_EPOCHS, reg: float = NMF_REG, seed: int = 42, blocks: int | None = None) -> Factors:
     """M8: non-negative factors by multiplicative updates over the observed ratings; runs a job an epoch.
 
@@ -198,6 +221,8 @@ def fit_nmf(train: DataFrame, rank: int = NMF_RANK, epochs: int = NMF_EPOCHS, re
     dealt, blocks = _dealt(train, blocks)
     ratings = materialize(dealt, "factor-ratings")
     state = _first_state(ratings, rank, seed, _uniform)
+    if blocks == 1:
+        return Factors(0.0, materialize(_whole_grid(state, ratings, epochs, reg), "factor-state"))
     none = lambda t: F.lit(None).cast(t)
     copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     for _ in range(epochs if ratings.limit(1).count() else 0):

@@ -21,8 +21,9 @@ def state_of(model):
     return {(r["side"], r["id"]): (r["bias"], np.array(r["factors"])) for r in model.state.collect()}
 
 
-def test_gradient_steps_equal_a_plain_loop_in_the_same_order(spark):
-    rank, epochs, blocks, seed = 7, 3, 3, 42
+@pytest.mark.parametrize("blocks", (3, 1))
+def test_gradient_steps_equal_a_plain_loop_in_the_same_order(spark, blocks):
+    rank, epochs, seed = 7, 3, 42
     frame = spark.createDataFrame(ratings(), SCHEMA)
     model = sgd.fit_svd(frame, rank=rank, epochs=epochs, rate=0.05, seed=seed, blocks=blocks)
     dealt, _ = sgd._dealt(frame, blocks)
@@ -47,7 +48,8 @@ def test_gradient_steps_equal_a_plain_loop_in_the_same_order(spark):
     assert all(abs(est[r["uid"], r["item_id"]] - (mu + bias[0, r["uid"]] + bias[1, r["item_id"]] + f[0, r["uid"]] @ f[1, r["item_id"]])) < 2e-6 for r in rows)
 
 
-def test_multiplicative_updates_equal_dense_ones_and_never_raise_the_loss(spark):
+@pytest.mark.parametrize("blocks", (2, 1))
+def test_multiplicative_updates_equal_dense_ones_and_never_raise_the_loss(spark, blocks):
     rows = ratings(2)
     frame = spark.createDataFrame(rows, SCHEMA)
     rank, reg = 4, 0.06
@@ -58,7 +60,7 @@ def test_multiplicative_updates_equal_dense_ones_and_never_raise_the_loss(spark)
         m[users.index(u), items.index(i)], r[users.index(u), items.index(i)] = 1, score
     losses = []
     for epochs in range(4):
-        model = sgd.fit_nmf(frame, rank=rank, epochs=epochs, blocks=2)
+        model = sgd.fit_nmf(frame, rank=rank, epochs=epochs, blocks=blocks)
         got = state_of(model)
         assert np.allclose(np.stack([got[0, u][1] for u in users]), p) and np.allclose(np.stack([got[1, i][1] for i in items]), q) and p.min() >= 0
         losses.append(sgd.nmf_loss(model, frame))
@@ -76,8 +78,8 @@ def test_models_learn_structure_that_biases_cannot_express(spark):
     train, test = train_test(spark.createDataFrame(rows, SCHEMA))
     rmse = lambda pred: evaluate.rmse_mae(pred).first()["rmse"]
     base = rmse(factor.prediction_rows(factor.predict_baseline(factor.fit_baseline(train), test)))
-    assert rmse(sgd.predict(sgd.fit_svd(train, rank=10, epochs=40, rate=0.03, blocks=2), test)) < 0.6 * base
-    assert rmse(sgd.predict(sgd.fit_nmf(train, rank=8, epochs=40, blocks=2), test, known_only=True)) < 0.8 * base
+    assert rmse(sgd.predict(sgd.fit_svd(train, rank=10, epochs=40, rate=0.03), test)) < 0.6 * base
+    assert rmse(sgd.predict(sgd.fit_nmf(train, rank=8, epochs=40), test, known_only=True)) < 0.8 * base
 
 
 def test_empty_missing_and_unseen(spark):

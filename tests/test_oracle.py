@@ -22,6 +22,7 @@ def test_every_query_registered_with_oracle_or_model():
     assert rows_only == {
         "als_predictions", "als_item_factors", "als_recommend_all", "als_persist_reload", "als_grid_search",
         "biased_mf_predictions", "biased_mf_recommend_all", "residual_grid_search", "model_comparison",
+        "als_max_inner_product", "svd_predictions", "svd_recommend_all", "nmf_predictions", "embedding_lsh_topk",
     }
 
 
@@ -54,3 +55,37 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["item_id", "n_ratings", "name"]
     assert df.count() > 0
+
+
+def test_new_user_sql_states_the_rule_of_the_query(spark, duck, tmp_path):
+    """Where the profile's items are the best rated too, the neighbours' lists must be cut after the profile's items leave them."""
+    import duckdb
+
+    from cellar.plans.recommend import _PROFILE
+    from cellar.plans.registry import sql
+
+    profile = ", ".join(str(i) for (i,) in duck.execute(sql(_PROFILE + "SELECT item_id FROM prof")).fetchall())  # by counts, not by scores
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "documents", "labels", "conversations", "events"):
+        con.execute(f"COPY (SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+    con.execute(f"""COPY (SELECT * REPLACE (CAST(CASE WHEN l_partkey IN ({profile}) THEN 31 + (l_orderkey + l_linenumber) % 20 ELSE 1 + (l_orderkey + l_linenumber) % 20 END AS DECIMAL(15, 2)) AS l_quantity)
+        FROM read_parquet('{SF_SMALL}/lineitem.parquet')) TO '{tmp_path}/lineitem.parquet' (FORMAT parquet)""")
+    for f in tmp_path.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM read_parquet('{f}')")
+    key = "new_user_recommendations"
+    cur = con.execute(ORACLE[key])
+    cols, want = [d[0] for d in cur.description], cur.fetchall()
+    df = QUERIES[key](spark, str(tmp_path))
+    assert want and sorted(canon(df.columns, [tuple(r) for r in df.collect()])) == sorted(canon(cols, want))
+    old = ORACLE[key].replace("AND bi.item_id NOT IN (SELECT item_id FROM prof)", "")
+    assert old != ORACLE[key] and sorted(con.execute(old).fetchall()) != sorted(want)  # the rule makes a difference on these data
+
+
+@pytest.mark.parametrize("name", E.EXTRAS)
+def test_library_queries_without_the_optional_packages(name):
+    import subprocess
+    import sys
+
+    code = f"import sys; sys.modules[{name!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+    assert out.returncode == 0 and int(out.stdout.split()[0]) >= len(NAMES), out.stderr[-500:]

@@ -1,9 +1,10 @@
 """Chat formatting: schema fingerprints, canonical turns, a reversible template and a loss mask.
 
 Records come in many layouts (prompt and completion, instruction with input,
-lists of messages, one row per turn). The non-null nested field paths of a
-record, out of those that some mapping names, are sorted and hashed; the hash
-selects the declarative mapping that makes canonical turns (role, text) of it.
+lists of messages, one row per turn). Of a record's non-null nested field paths,
+those that a mapping names are sorted and hashed; the first mapping, in the order
+of ``LAYOUTS``, that allows the hash makes canonical turns (role, text) of the
+record. So a field of a second layout does not cost the record.
 Everything here is DataFrame functions; no Python runs on the executors.
 
 Template of a turn: ``### <role>: <text></turn>\n``. Inside roles and texts the
@@ -19,8 +20,10 @@ tasks and sorted part by part; the parts in order are the conversation.
 Null text reads as empty, null role as the empty role, null turn numbers come
 first, null conversation ids form one conversation. Rows with the same turn
 number are ordered by role and text; repeated rows are repeated turns. Fields
-that no mapping names are ignored; a record whose paths match no mapping has a
-null layout and null turns.
+that the chosen mapping does not name are ignored. A record whose paths match no
+mapping has a null layout and null turns: ``unmatched`` gives such records, and
+formatting them is an error unless they are left out on purpose. Empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -62,14 +65,11 @@ def _known_paths() -> list[str]:
     return sorted({p for need, may, _ in LAYOUTS.values() for p in need + may})
 
 
-def _mappings() -> dict[str, str]:
-    """Fingerprint of every set of paths that a layout allows."""
-    out = {}
-    for name, (need, may, _) in LAYOUTS.items():
-        for n in range(len(may) + 1):
-            for extra in combinations(may, n):
-                out[fingerprint(need + extra)] = name
-    return out
+def _fingerprints(layout: str) -> list[str]:
+    """Fingerprints of the sets of its own paths that a layout allows."""
+    need, may, _ = LAYOUTS[layout]
+    least = 0 if need else 1  # a layout that needs nothing must find something
+    return [fingerprint(need + extra) for n in range(least, len(may) + 1) for extra in combinations(may, n)]
 
 
 def _typed_paths(df: DataFrame) -> set[str]:
@@ -126,16 +126,16 @@ def canonical(records: DataFrame, into: str = "turns", layout: str = "layout") -
     named ``layout`` or ``turns`` are replaced.
     """
     have = _typed_paths(records)
+    name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     known = [p for p in _known_paths() if p in have]
-    paths = F.array_compact(F.array(*[_present(p) for p in known])) if known else F.array().cast("array<string>")
-    print_ = F.sha2(F.array_join(F.array_sort(paths), "\n"), 256)
-    usable = {f: name for f, name in _mappings().items() if set(LAYOUTS[name][0]) <= have}
-    name = F.lit(None).cast("string")
-    for f, x in usable.items():
-        name = F.when(print_ == f, F.lit(x)).otherwise(name)
-    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for x in sorted(set(usable.values())):
-        turns = F.when(F.col(layout) == x, _turns(x, have)).otherwise(turns)
+    nothing = F.size(F.array_compact(F.array(*[_present(p) for p in known]))) == 0 if known else F.lit(True)
+    for x, (need, may, _) in reversed(LAYOUTS.items()):  # the first one is decided last and stays
+        if not set(need) <= have:
+            continue
+        own_paths = [p for p in sorted(need + may) if p in have]
+        print_ = F.sha2(F.array_join(F.array_compact(F.array(*[_present(p) for p in own_paths])), "\n"), 256) if own_paths else F.lit("")
+        fits = print_.isin(_fingerprints(x)) | (nothing if not need else F.lit(False))  # a row of nulls is an empty turn
+        name, turns = F.when(fits, F.lit(x)).otherwise(name), F.when(fits, _turns(x, have)).otherwise(turns)
     own = [c for c in records.columns if c.lower() not in (into.lower(), layout.lower())]
     return records.withColumn(layout, name).withColumn(into, turns).select(*[F.col(f"`{c}`") for c in own], layout, into)
 
@@ -147,6 +147,11 @@ def from_json(records: DataFrame, column: str) -> DataFrame:
     return records.select(*own, F.from_json(F.col(column), JSON_SCHEMA).alias("_r")).select(*[F.col(f"`{c}`") for c in records.columns if c.lower() not in names and c != column], "_r.*")
 
 
+def unmatched(records: DataFrame) -> DataFrame:
+    """The records that no layout fits, as they are."""
+    return canonical(records, "_turns", "_layout").where(F.col("_layout").isNull()).select(*[F.col(f"`{c}`") for c in records.columns])
+
+
 def escape(x: Column) -> Column:
     for old, new in ESCAPES:
         x = F.replace(x, F.lit(old), F.lit(new))
@@ -159,15 +164,23 @@ def unescape(x: Column) -> Column:
     return x
 
 
-def format_parts(rows: DataFrame, id: str = "conv_id", turn: str = "turn") -> DataFrame:
+def format_parts(rows: DataFrame, id: str = "conv_id", turn: str = "turn", skip_unmatched: bool = False) -> DataFrame:
     """Format turns (columns ``id``, ``turn`` and those that a layout names): one row per conversation and part.
 
     Columns: id, part, text (formatted), loss: spans (first code point from 0, length) of the assistant texts.
+    A record that no layout fits is an error when it is met; with ``skip_unmatched`` it is left to ``unmatched``.
     """
-    one = canonical(rows, "_turns", "_layout").where(F.col("_layout").isNotNull())
+    one = canonical(rows, "_turns", "_layout")
+    if skip_unmatched:
+        one = one.where(F.col("_layout").isNotNull())
+    else:
+        error = F.raise_error(F.lit("a record fits no chat layout: see unmatched()")).cast("array<struct<role:string,text:string>>")
+        one = one.withColumn("_turns", F.when(F.col("_layout").isNull(), error).otherwise(F.col("_turns")))
     number = F.col(turn).cast("bigint")
-    one = one.select(F.col(id), F.floor(number / PART_TURNS).alias("part"), number.alias("n"), F.posexplode("_turns").alias("i", "t"))
-    parts = one.groupBy(id, "part").agg(F.sort_array(F.collect_list(F.struct("n", "t.role", "t.text", "i"))).alias("turns"))
+    # a record's turns stay in its order; records of the same turn number go by their turns
+    one = one.select(F.col(id), F.floor(number / PART_TURNS).alias("part"), number.alias("n"), F.col("_turns").alias("t"))
+    parts = one.groupBy(id, "part").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("turns"))
+    parts = parts.withColumn("turns", F.flatten("turns.t"))
     body = F.transform(
         "turns",
         lambda t: F.struct(

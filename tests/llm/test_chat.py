@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellar.llm import chat, queries
@@ -76,3 +77,20 @@ def test_layouts_are_chosen_by_fingerprint(spark):
         (None, None),
     ]
     assert got[7][1] in (None, [("", "")])
+
+
+def test_a_field_of_a_second_layout_does_not_cost_the_record(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string, system string, input string, prompt string, completion string"
+    rows = [(1, 0, "user", "q", "sys", None, None, None), (1, 1, "assistant", "a", None, "in", None, None), (2, 0, None, "t", None, None, "p", "c"), (3, 0, None, None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, schema)
+    got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in chat.read_back(chat.format_parts(frame)).collect()}
+    assert got == {1: [("user", "q"), ("assistant", "a")], 2: [("user", "p"), ("assistant", "c")], 3: [("", "")]}
+    assert chat.unmatched(frame).count() == 0
+
+
+def test_a_record_without_a_layout_is_an_error_or_given_back(spark):
+    frame = spark.createDataFrame([(1, 0, "u", "t", None), (2, 0, None, None, "alone")], "conv_id bigint, turn bigint, role string, text string, system string")
+    with pytest.raises(Exception, match="fits no chat layout"):
+        chat.digests(chat.format_parts(frame)).collect()
+    assert [r["conv_id"] for r in chat.unmatched(frame).collect()] == [2]
+    assert [r["conv_id"] for r in chat.format_parts(frame, skip_unmatched=True).collect()] == [1]

@@ -129,7 +129,7 @@ entries AS (
   UNION ALL SELECT pattern, 'block', DATE '2024-07-01' FROM spam UNION ALL SELECT pattern, 'block', DATE '2024-03-01' FROM rest
   UNION ALL SELECT pattern, 'allow', DATE '2024-09-01' FROM rest
   UNION ALL SELECT host || '/' || seg, 'allow', DATE '2023-06-01' FROM hosts WHERE host LIKE 'm.%' AND seg IS NOT NULL),
-ranked AS (SELECT lower(pattern) AS pattern, since, max(CASE action WHEN 'block' THEN 3 WHEN 'allow' THEN 2 ELSE 1 END) AS r FROM entries GROUP BY 1, 2),
+ranked AS (SELECT lower(regexp_extract(pattern, '^[^/]*')) || substr(pattern, length(regexp_extract(pattern, '^[^/]*')) + 1) AS pattern, since, max(CASE action WHEN 'block' THEN 3 WHEN 'allow' THEN 2 ELSE 1 END) AS r FROM entries GROUP BY 1, 2),
 spans AS (SELECT pattern, r, since AS valid_from, lead(since) OVER (PARTITION BY pattern ORDER BY since) AS valid_to FROM ranked),
 keys AS (SELECT DISTINCT url, fetched, host, segs, string_split(host, '.') AS labels FROM pages_ WHERE host <> ''),
 asked AS (

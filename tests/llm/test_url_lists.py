@@ -110,3 +110,33 @@ def test_query_allows_paths_with_upper_case(spark, tmp_path):
     spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
     got = queries.op7_url_lists(spark, str(tmp_path)).where("action = 'allow'").select("pattern", "fetched").collect()
     assert {r["pattern"] for r in got} == {"m.a.com/News"} and len(got) == sum(dt.date(2023, 1, 1) + dt.timedelta(i * 37 % 730) >= dt.date(2023, 6, 1) for i in range(730))
+
+
+def test_times_of_one_day_are_told_apart(spark):
+    at = lambda h, y=2024: dt.datetime(y, 1, 5, h)
+    entries = spark.createDataFrame([("a.com", "block", at(15)), ("a.com", "remove", at(20)), ("b.com", "block", at(0))], "pattern string, action string, since timestamp")
+    captures = spark.createDataFrame([(1, "http://a.com/", at(9)), (2, "http://a.com/", at(15)), (3, "http://a.com/", at(19)), (4, "http://a.com/", at(20)), (5, "http://b.com/", at(1, 9000)), (6, "http://b.com/", None)], "id int, url string, fetched timestamp")
+    got = {r["id"]: r["blocked"] for r in L.judge(captures, entries).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: False, 5: True, 6: False}
+    days = entries.selectExpr("pattern", "action", "date_add(CAST(since AS date), 0) AS since")
+    assert {r["id"]: r["blocked"] for r in L.judge(captures, days).collect()}[5] is True
+
+
+def test_sql_keeps_the_case_of_paths(spark, tmp_path):
+    """The query and its SQL agree on pages with upper-case paths, where lower-casing the whole pattern does not."""
+    import duckdb
+
+    from cellar.llm import queries
+    from tools.oracle_check import canon
+
+    rows = [(i, f"http://m.a.com/News/{i}", "") for i in range(40)] + [(100 + i, f"http://x.b.casino/Q{i}", "") for i in range(40)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    run = lambda sql: (lambda cur: sorted(canon([d[0] for d in cur.description], cur.fetchall())))(con.execute(sql))
+    df = queries.op7_url_lists(spark, str(tmp_path))
+    sql = queries.ORACLE["op7_url_lists"]
+    got = sorted(canon(df.columns, [tuple(r) for r in df.collect()]))
+    assert got == run(sql)
+    old = sql.replace("lower(regexp_extract(pattern, '^[^/]*')) || substr(pattern, length(regexp_extract(pattern, '^[^/]*')) + 1)", "lower(pattern)")
+    assert old != sql and got != run(old)

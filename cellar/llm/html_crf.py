@@ -71,6 +71,8 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     # an open element: (tag, features of it and its ancestors, features of it or the nearest section or named element around it)
     stack: list[tuple[str, frozenset[str], tuple[str, ...]]] = [("", frozenset(), ())]
+    open_at: dict[str, list[int]] = {}  # places of the open elements by tag, so that an end tag without a partner costs nothing
+    blocks_at: list[int] = []  # places of the open block elements
     parts: list[str] = []
     links, link_chars = 0, 0
 
@@ -78,7 +80,7 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal link_chars
         text = " ".join("".join(parts).split())
         if text:
-            near = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK_TAGS), 0)
+            near = blocks_at[-1] if blocks_at else 0
             blocks.append(Block(text, stack[near][1], stack[near][2], link_chars))
         parts.clear()
         link_chars = 0
@@ -94,7 +96,11 @@ def leaf_blocks(page: str) -> list[Block]:
     def close(i: int) -> None:
         nonlocal links
         links -= sum(x[0] == "a" for x in stack[i:])
+        for x in reversed(stack[i:]):
+            open_at[x[0]].pop()
         del stack[i:]
+        while blocks_at and blocks_at[-1] >= i:
+            blocks_at.pop()
 
     at, end = 0, len(page)
     while at < end:
@@ -109,11 +115,11 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         closing, attributes = m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            i = open_at[tag][-1] if open_at.get(tag) else 0
             if tag in BLOCK_TAGS:
                 flush()
             if i:
-                if tag not in BLOCK_TAGS and any(x[0] in BLOCK_TAGS for x in stack[i:]):
+                if tag not in BLOCK_TAGS and blocks_at and blocks_at[-1] >= i:
                     continue  # an inline end tag does not close blocks
                 close(i)
             continue
@@ -122,17 +128,14 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK_TAGS:
             flush()
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK_TAGS), 0)
+            i = blocks_at[-1] if blocks_at else 0
             if stack[i][0] == "p":  # a paragraph ends where a block begins
                 close(i)
             kin = SIBLINGS.get(tag)
             if kin:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in SIBLING_SCOPE:
-                        break
-                    if stack[i][0] in kin:
-                        close(i)
-                        break
+                last = lambda tags: max((open_at[x][-1] for x in tags if open_at.get(x)), default=0)
+                if (i := last(kin)) > last(SIBLING_SCOPE - kin):
+                    close(i)
         if tag in RAW_TAGS and not attributes.endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else end
@@ -145,6 +148,9 @@ def leaf_blocks(page: str) -> list[Block]:
                 own += [f"word={w}" for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())]
         links += tag == "a"
         places = stack[-1][1] | frozenset(own) if len(own) > 1 or tag in BLOCK_TAGS else stack[-1][1]
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK_TAGS:
+            blocks_at.append(len(stack))
         stack.append((tag, places, tuple(own) if len(own) > 1 or tag in SECTION_TAGS else stack[-1][2]))
     flush()
     return blocks

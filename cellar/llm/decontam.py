@@ -148,6 +148,17 @@ class Index:
         return len(inner), n, -(shift + lo + begin), -(lo + begin)
 
 
+def not_searched(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> DataFrame:
+    """(id, n_words) of the items that ``overlaps`` and ``drop_leaks`` do not search: those of fewer than ``MIN_ITEM`` words, which are no evidence."""
+    schema = T.StructType([T.StructField(id, benchmark.schema[id].dataType), T.StructField("n_words", T.LongType())])
+
+    def one(b: pa.RecordBatch) -> pa.Table:
+        n = [Words(offsets, LOWER[data], ALNUM).n for _, _, offsets, data in slices(b.column(1))]
+        return pa.Table.from_arrays([b.column(0), pa.array(np.concatenate(n or [np.zeros(0)]).astype(np.int64))], names=schema.names)
+
+    return map_batches(benchmark.select(F.col(id), F.col(text).cast("string").alias("_text")), one, schema).where(F.col("n_words") < MIN_ITEM)
+
+
 def _blocks(benchmark: DataFrame, id: str, text: str):
     """The benchmark's rows in blocks that a task can hold; a block's expected size is fixed, their number grows."""
     rows = benchmark.select(F.col(id), F.col(text).cast("string").alias("_text"))

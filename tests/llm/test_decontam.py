@@ -122,3 +122,8 @@ def test_short_masks_avoid_all_allowed_substitutions():
     for n in range(D.MIN_ITEM, D.SHORT_ITEM + 1):
         masks = [set(m) for m in D.short_masks(n)]
         assert all(any(not m & set(gone) for m in masks) for gone in combinations(range(n), n - math.ceil(D.MIN_SHARE * n)))
+
+
+def test_items_that_are_not_searched_are_given_back(spark):
+    items = spark.createDataFrame([(1, "Four words are few"), (2, "five words are just enough"), (3, None), (4, "")], "item_id bigint, text string")
+    assert {(r["item_id"], r["n_words"]) for r in D.not_searched(items).collect()} == {(1, 4), (3, 0), (4, 0)}

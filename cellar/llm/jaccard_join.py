@@ -29,6 +29,7 @@ links. Texts are taken whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from cellar.llm.common import NO_ID, map_batches, materialize, pack_texts, unpack_texts
 from cellar.llm.components import connected_components
-from cellar.llm.words import U, Words, mix, run_hashes, slices
+from cellar.llm.words import U, Words, mix, slices
 
 GRAM = 5
 HASHES, ROWS, STEP = 128, 4, 16
@@ -67,15 +68,22 @@ def _bands(minhash: np.ndarray) -> np.ndarray:
     return mix(parts + mix(np.arange(1, HASHES // ROWS + 1, dtype=U)))
 
 
+def _digests(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Two numbers a text: a cryptographic digest of its words joined by one space."""
+    raw = data.tobytes()
+    texts = (b" ".join(raw[i:j].split()) for i, j in zip(offsets.tolist(), offsets[1:].tolist()))  # white space of bytes is that of words
+    return np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in texts), np.int64).reshape(-1, 2).copy()
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc, s1, s2, n, size, bands): two hashes of the word sequence, its words, the text's bytes, band keys."""
+    """(doc, s1, s2, n, size, bands): a 128-bit digest of the word sequence, its words, the text's bytes, band keys."""
 
     def one(b: pa.RecordBatch) -> pa.Table:
         out = []
         for i, j, offsets, data in slices(b.column("_text")):
             w = Words(offsets, data)
             h = w.hashes()
-            s1, s2 = (run_hashes(x, w.first[:-1], w.first[1:]).view(np.int64) for x in (h, mix(h)))
+            s1, s2 = _digests(offsets, data).T
             at, g = w.ngrams(h, GRAM)
             doc = w.doc[at]
             starts = np.flatnonzero(np.diff(doc, prepend=-1))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellar.llm.common import fresh, materialize, with_struct
-from cellar.llm.words import Words, slices, span_hashes, within
+from cellar.llm.words import Words, mix, run_hashes, slices, span_hashes, within
 
 #: rule: (expression over the measures m, higher is worse, cutoffs from loose to strict)
 RULES = {
@@ -91,11 +91,21 @@ def _measure_slice(offsets: np.ndarray, data: np.ndarray) -> dict[str, np.ndarra
     begins = np.maximum(edges[line] + 1, offsets[doc])
     ends = np.minimum(edges[line + 1], offsets[doc + 1])
     again = _repeated(within(doc, span_hashes(data, begins, ends)), False)
+    # equal hashes point at equal lines; the bytes decide
+    if again.any():
+        raw, seen = data.tobytes(), set()
+        in_question = np.isin(doc, np.unique(doc[again]))
+        again[:] = False
+        for i in np.flatnonzero(in_question).tolist():
+            line_ = doc[i], raw[begins[i] : ends[i]]
+            again[i] = line_ in seen
+            seen.add(line_)
     out["n_lines"] = np.bincount(doc, minlength=n)
     out["n_dup_lines"] = np.bincount(doc[again], minlength=n)
     # words inside windows found twice or more
-    at, g = w.ngrams(w.hashes(), WINDOW)
-    hit = at[_repeated(within(w.doc[at], g), True)]
+    h = w.hashes()
+    at, g = w.ngrams(h, WINDOW)
+    hit = at[_repeated(within(w.doc[at], g ^ mix(run_hashes(h, at, at + WINDOW, other=True))), True)]
     cover = np.zeros(len(w.starts) + 1, np.int64)
     cover[hit] += 1
     np.subtract.at(cover, hit + WINDOW, 1)
@@ -218,6 +228,6 @@ def keep(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "te
     measured = measure(slim, "m").drop("text")
     limits = materialize(thresholds(measured, labels, id), "quality-limits")
     own = fresh(docs, "doc")
-    whole = docs.select(F.struct(*docs.columns).alias(own), F.col(text).cast("string").alias("text"), F.col(by).cast("string").alias("stratum") if by in docs.columns else F.lit("").alias("stratum"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(own), F.col(text).cast("string").alias("text"), F.col(by).cast("string").alias("stratum") if by in docs.columns else F.lit("").alias("stratum"))
     judged = apply_rules(measure(whole, "m").drop("text"), limits)
-    return judged.where("kept").select(f"{own}.*")
+    return judged.where("kept").select(*[F.col(own).getField(c).alias(c) for c in docs.columns])

@@ -116,7 +116,7 @@ def segments(w: Words, common: CommonRuns) -> tuple[np.ndarray, np.ndarray, np.n
     times = seen[begin + n] - seen[begin]
     for t in range(WINDOW - GRAM):
         times += gram[first + n + t] == own
-    return text, first - w.first[text], n, times > 1, own, run_hashes(h, first, first + n + WINDOW - 1)
+    return text, first - w.first[text], n, times > 1, own, run_hashes(h, first, first + n + WINDOW - 1, other=True)
 
 
 def _at(first: np.ndarray, n: np.ndarray, again: np.ndarray | int = 0) -> np.ndarray:

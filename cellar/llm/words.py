@@ -3,9 +3,12 @@
 Everything works on the UTF-8 buffer of a batch: no Python string per word. A
 batch is cut into slices of whole texts of at most ``max_bytes`` (one longer
 text is a slice of its own), so a task holds a small multiple of the slice.
-Hashes are 64-bit polynomial hashes of the bytes of a word, or of the hashes of
-consecutive words, finished with a bit mixer; equal input gives equal hashes on
-every machine and in every batch.
+Hashes are pairs of polynomials modulo the prime 2**31 - 1, at two points, over
+the bytes of a word or over the hashes of consecutive words (62 bits, finished
+with a bit mixer). Two different inputs of n bytes or words agree in a pair with
+probability (n / 2**31)**2 at most, whatever their pattern; equal input gives
+equal hashes on every machine and in every batch. Where equality of long or many
+things decides, callers compare more than one such hash, or the bytes.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ import pyarrow as pa
 U = np.uint64
 SLICE_BYTES = 1 << 19
 
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd: invertible modulo 2**64
+_P = (1 << 31) - 1
+#: points of the polynomials, drawn once: for bytes, for words, and for a second hash of words
+_BYTE_POINTS, _WORD_POINTS, _OTHER_POINTS = (0x3C6EF372, 0x1B873593), (0x5BD1E995, 0x2545F491), (0x4CF5AD43, 0x27D4EB2F)
 
 #: Bytes of a word in ``[^\x20\x09-\x0D]+``.
 NOT_SPACE = np.ones(256, bool)
@@ -39,20 +44,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_BYTE_CODE = mix((np.arange(256, dtype=U) + U(1)) * U(0xA24BAED4963EE407))
+_BYTE_CODE = (mix((np.arange(256, dtype=U) + U(1)) * U(0xA24BAED4963EE407)) >> U(34)) + U(1)  # below 2**31, not 0
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i < n, modulo 2**64."""
+@lru_cache(maxsize=8)
+def _powers(point: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """point**i and point**-i for i < n, modulo _P."""
     out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(n, b, U)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
+    for x in (point % _P, pow(point, -1, _P)):
+        p = np.ones(1, U)
+        while len(p) < n:  # doubled: p[k + i] = x**k * p[i]
+            p = np.concatenate((p, p * U(pow(x, len(p), _P)) % U(_P)))
+        out.append(p[:n])
     return out[0], out[1]
 
 
+def _polynomials(values: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray, points: tuple[int, int]) -> np.ndarray:
+    """For each range, the polynomials of ``values`` (at most 2**31) at the points, mixed into one number."""
+    out = U(0)
+    for v, point in zip(values, points):
+        up, down = _powers(point, _room(len(v)))
+        x = v * up[: len(v)]
+        total = np.zeros(len(v) + 1, U)
+        np.cumsum((x & U(_P)) + (x >> U(31)), out=total[1:])  # terms below 2**33: no overflow
+        out = out << U(31) | (total[ends] - total[starts]) % U(_P) * down[starts] % U(_P)
+    return mix(out)
+
+
 def _room(n: int) -> int:
     return max(SLICE_BYTES + 1, 1 << n.bit_length())
 
@@ -117,18 +135,14 @@ class Words:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of each byte range; it depends on the bytes alone."""
-    up, down = _powers(_BYTE_BASE, _room(len(data)))
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum(_BYTE_CODE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
-
-
-def run_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each run of word hashes."""
-    up, down = _powers(_WORD_BASE, _room(len(h)))
-    total = np.zeros(len(h) + 1, U)
-    np.cumsum(h * up[: len(h)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
+    code = _BYTE_CODE[data]
+    return _polynomials((code, code), starts, ends, _BYTE_POINTS)
+
+
+def run_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False) -> np.ndarray:
+    """Hash of each run of word hashes; with ``other``, a second hash that does not depend on the first."""
+    parts = (h & U(_P)) + U(1), (h >> U(31) & U(_P)) + U(1)
+    return _polynomials(parts, starts, ends, _OTHER_POINTS if other else _WORD_POINTS)
 
 
 def within(doc: np.ndarray, h: np.ndarray) -> np.ndarray:

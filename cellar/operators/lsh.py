@@ -35,7 +35,8 @@ from cellar.operators.similarity import top_k
 from cellar.session import materialize
 
 MAX_BITS = 14  # so at most 2 ** 14 cells a table
-MAX_QUERIES = 8192  # of a group
+MAX_QUERIES = 2048  # of a group
+PIECE = 256  # vectors that are dealt to cells at a time: each becomes many rows
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -135,7 +136,7 @@ def _dealt(reps: DataFrame, cells: Cells, vec: str, id: str, chunks: dict[tuple[
     fields = [T.StructField(c, T.IntegerType()) for c in ("t", "cell", "side", "rc", "qc")] + ([T.StructField("id", id_type), reps.schema[vec]] if chunks is not None else [])
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in (whole.iloc[i : i + PIECE] for whole in batches for i in range(0, len(whole), PIECE)):
             x = _unit(b[vec])
             salt = pd.util.hash_array(b[id].to_numpy()).astype(np.uint64)
             for t in range(len(cells.planes)):
@@ -165,7 +166,8 @@ def _compared(vec: str, k: int):
         if not len(q) or not len(r):
             return pd.DataFrame({"a": [], "b": [], "sim": []})
         a, b = q["id"].to_numpy(), r["id"].to_numpy()
-        s = np.where(a[:, None] == b[None, :], -np.inf, _unit(q[vec]) @ _unit(r[vec]).T)
+        s = _unit(q[vec]) @ _unit(r[vec]).T
+        s[a[:, None] == b[None, :]] = -np.inf
         n = min(k, s.shape[1])
         least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n]
         i, j = np.nonzero((s >= (least - 1e-6)[:, None]) & (s > -2))

@@ -10,9 +10,12 @@ similarity of ``threshold`` or more.
    band are joined to the band's smallest class (not to each other), and
    connected components of these edges hold all candidates.
 3. A component is compared in one unit, if its texts are no more than
-   ``UNIT_BYTES``; of a larger one, each band is a unit, and a unit beyond that
-   size is cut into blocks that are compared pair by pair of blocks. A pair is
-   judged in the first band it shares only.
+   ``UNIT_BYTES`` and ``UNIT_DOCS`` documents. A larger one whose bands hold
+   fewer pairs than itself (texts that chain together) is compared band by band,
+   and a pair is judged in the first band it shares only; one whose bands hold
+   more (near copies of one text) is compared as a whole, once. What is beyond
+   the sizes of a unit is cut into blocks that are compared pair by pair of
+   blocks, so the pairs of a task are bounded as well as its bytes.
 4. In a unit, the MinHash values of a pair are compared ``STEP`` at a time. With
    k of n equal and a uniform prior, the similarity is Beta(k + 1, n - k + 1);
    the pair is dropped when the probability of reaching the threshold falls
@@ -45,7 +48,7 @@ from cellar.llm.words import U, Words, mix, slices
 
 GRAM = 5
 HASHES, ROWS, STEP = 128, 4, 16
-UNIT_BYTES = 8 << 20
+UNIT_BYTES, UNIT_DOCS = 8 << 20, 1024
 _XOR = mix(np.arange(1, HASHES + 1, dtype=U) * U(0xA0761D6478BD642F))
 _TIMES = mix(_XOR) | U(1)
 _ROW = mix(np.arange(1, ROWS + 1, dtype=U)) | U(1)
@@ -110,19 +113,30 @@ def _units(reps: DataFrame) -> DataFrame:
     meet = rows.join(shared, "key").select("doc", "least", "key", "band", "size")
     parts = materialize(connected_components(meet.select(F.col("doc").alias("a"), F.col("least").alias("b"))), "candidate-components")
     sized = parts.join(reps.select(F.col("doc").alias("node"), "size"), "node")
-    whole = sized.groupBy("root").agg(F.sum("size").alias("total"))
-    sized = materialize(sized.join(whole, "root").select(F.col("node").alias("doc"), "root", (F.col("total") > UNIT_BYTES).alias("large")), "candidate-units")
+    whole = sized.groupBy("root").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    whole = whole.select("root", "n", _blocks("bytes", "n").alias("blocks"))
+    sized = materialize(sized.join(whole, "root").select(F.col("node").alias("doc"), "root", "n", "blocks"), "candidate-units")
     zero = F.lit(0).cast("bigint")
-    units = sized.where("NOT large").select("doc", F.col("root").alias("unit"), F.lit(-1).alias("band"), zero.alias("i"), zero.alias("j"), zero.alias("block"))
-    if sized.where("large").limit(1).count():
-        banded = meet.join(sized.where("large").select("doc"), "doc").select("doc", "key", "band", "size")
-        blocks = banded.groupBy("key", "band").agg(F.ceil(F.sum("size") / UNIT_BYTES).alias("blocks"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = sized.where("blocks = 1").select("doc", F.col("root").alias("unit"), F.lit(-1).alias("band"), zero.alias("i"), zero.alias("j"), zero.alias("block"))
+    if sized.where("blocks > 1").limit(1).count():
+        banded = meet.join(sized.where("blocks > 1").select("doc", "root", F.col("n").alias("n_root")), "doc")
+        keys = banded.groupBy("root", "n_root", "key", "band").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        dense = keys.groupBy("root", "n_root").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")).where("pairs >= n_root * n_root").select("root")
+        dense = materialize(dense, "dense-components")
+        whole = sized.where("blocks > 1").join(dense, "root", "left_semi").select("doc", F.col("root").alias("unit"), F.lit(-1).alias("band"), "blocks")
+        sparse = keys.join(dense, "root", "left_anti").select("key", _blocks("bytes", "n").alias("blocks"))
+        bands = banded.join(sparse, "key").select("doc", F.col("key").alias("unit"), "band", "blocks")
         block = F.pmod(F.xxhash64("doc"), F.col("blocks"))
-        cut = banded.join(blocks, ["key", "band"]).select("doc", F.col("key").alias("unit"), "band", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+        cut = whole.unionByName(bands).select("doc", "unit", "band", block.alias("block"), other.alias("other"))
         units = units.unionByName(cut.select("doc", "unit", "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block"))
     return units
 
 
+def _blocks(size: str, n: str):
+    return F.greatest(F.ceil(F.col(size) / UNIT_BYTES), F.ceil(F.col(n) / UNIT_DOCS))
+
+
 # ---- pairs of a unit ---------------------------------------------------------------
 
 

@@ -61,6 +61,24 @@ def test_large_groups_in_units_bands_and_blocks(spark, monkeypatch, unit):
     assert {k: (r["class_id"], r["n_links"]) for k, r in got.items()} == brute(source)
 
 
+@pytest.mark.parametrize("unit_docs", [7])
+def test_units_are_bounded_by_documents(spark, monkeypatch, unit_docs):
+    """A cluster of near copies is cut as a whole, a chain of sliding texts by bands; both into blocks of few documents."""
+    monkeypatch.setattr(J, "UNIT_DOCS", unit_docs)
+    rng = random.Random(4)
+    stream = [f"s{i}" for i in range(1300)]
+    rows = near_copies(70, rng) + [" ".join(stream[i : i + 60]) for i in range(0, 1200, 4)] + ["a b c d e f"] * 3
+    rng.shuffle(rows)
+    source = dict(enumerate(rows))
+    got = by_id(J.near_duplicates(docs(spark, list(source.items()))))
+    assert {k: (r["class_id"], r["n_links"]) for k, r in got.items()} == brute(source)
+    signed = J._signatures(docs(spark, list(source.items())).selectExpr("doc_id AS _k", "text AS _text"))
+    units = J._units(signed.where("size(bands) > 0").dropDuplicates(["s1", "s2"])).collect()
+    per_unit = Counter((u["unit"], u["band"], u["i"], u["j"], u["block"]) for u in units)
+    assert max(per_unit.values()) <= 3 * unit_docs
+    assert any(u["band"] == -1 and u["j"] > 0 for u in units) and any(u["band"] >= 0 for u in units)
+
+
 def test_edge_rows(spark):
     frame = clashing(docs(spark, NASTY))
     got = J.near_duplicates(frame).collect()

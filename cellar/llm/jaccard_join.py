@@ -197,11 +197,12 @@ class Unit:
         return others[both * b >= (self.sizes[others] + self.sizes[i] - both) * a]
 
 
-def _forest(parent: np.ndarray, i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
+def _unite(label: np.ndarray, i: int, found: np.ndarray) -> None:
+    """Give document i, those found and all that hang together with them the smallest of their labels."""
+    roots = np.unique(label[found])
+    if len(roots) > 1 or roots[0] != label[i]:
+        roots = np.union1d(roots, label[i])
+        label[np.isin(label, roots)] = roots[0]
 
 
 def _compare(threshold: float, tolerance: float):
@@ -234,16 +235,14 @@ def _compare(threshold: float, tolerance: float):
             if len(have) < 2:
                 continue
             unit = Unit([sets[k] for k in have], minhash[have], copies[have], block[have])
-            links, parent = np.zeros(len(have), np.int64), np.arange(len(have))
+            links, label = np.zeros(len(have), np.int64), np.arange(len(have))
             for k in range(len(have) - 1):
                 found = unit.links(k, band, i != j, exact, least_equal)
                 if len(found):
                     links[k] += unit.copies[found].sum()
                     links[found] += unit.copies[k]
-                    for f in found.tolist():
-                        a, b = _forest(parent, k), _forest(parent, f)
-                        parent[max(a, b)] = min(a, b)
-            out += [(docs[have[k]], links[k], docs[have[_forest(parent, k)]]) for k in np.flatnonzero(links).tolist()]
+                    _unite(label, k, found)
+            out += [(docs[have[k]], links[k], docs[have[label[k]]]) for k in np.flatnonzero(links).tolist()]
         cols = list(zip(*out)) if out else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in cols], names=["doc", "links", "other"])
 
@@ -275,6 +274,7 @@ def _compare(threshold: float, tolerance: float):
 
 
 HELD_BYTES = 1 << 20  # compressed
+TASK_PAIRS, MAX_TASKS = 1 << 21, 100_000  # a task compares about so many pairs; there are no more tasks than that
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
@@ -284,12 +284,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", thr
     classes = signed.where("n > 0").groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     classes = materialize(classes, "copy-classes")
     reps = classes.where(F.size("bands") > 0).select(F.col("rep").alias("doc"), "copies", "size", "bands")
-    units = _units(reps)
+    units = materialize(_units(reps), "units")
     where = units.join(reps.select("doc", "copies"), "doc").groupBy(F.col("doc").alias("_k")).agg(F.collect_list(F.struct("unit", "band", "i", "j", "block", "copies")).alias("u"))
     texts = pack_texts(slim).join(where, "_k").select(F.col("_k").alias("doc"), "_z", F.explode("u").alias("u"))
     rows = texts.select("u.unit", "u.band", "u.i", "u.j", "u.block", "u.copies", "doc", "_z")
     keys = ["unit", "band", "i", "j"]
-    compared = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare(threshold, tolerance), "doc bigint, links bigint, other bigint")
+    # dealt by the pairs to compare: coalesced by bytes, many short texts would meet in one task
+    pairs = units.groupBy(*keys).count().agg(F.sum(F.col("count") * F.col("count"))).first()[0] or 0
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(pairs / TASK_PAIRS), MAX_TASKS))
+    compared = rows.repartition(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(_compare(threshold, tolerance), "doc bigint, links bigint, other bigint")
     compared = materialize(compared, "near-links")
     links = compared.groupBy(F.col("doc").alias("rep")).agg(F.sum("links").alias("links"))
     groups = connected_components(compared.select(F.col("doc").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("rep"), "root")

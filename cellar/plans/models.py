@@ -8,9 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import rnd
-from cellar.operators import evaluate, factor, inner_product, sgd
+from cellar.operators import evaluate, factor, fold_in, inner_product, sgd
 from cellar.plans.registry import query, sql
-from cellar.session import scratch_path
+from cellar.session import materialize, scratch_path
 from cellar.sources.tables import Tables, fold_of, train_test
 
 K_TOP = 10
@@ -392,6 +392,18 @@ def als_max_inner_product_agrees(t: Tables):
     return both.groupBy("uid").agg(F.count(F.lit(1)).cast("int").alias("n"), F.bool_and(same).alias("agrees"))
 
 
+@query("als_fold_in_agrees", sql("SELECT uid, count(*) AS n, true AS agrees FROM train GROUP BY uid"))
+def als_fold_in_agrees(t: Tables):
+    """M20 + U1: every training user, folded into the model as a new one, gets the factors that the fit gave it."""
+    model, train, _ = _als_fit(t)
+    est = factor.als()
+    folded = fold_in.fold_in(model.itemFactors, train, est.getRegParam(), est.getNonnegative())
+    both = folded.join(model.userFactors.select("id", F.col("features").alias("own")), "id", "left")
+    # the fit works in single precision
+    same = F.forall(F.zip_with("features", F.col("own").cast("array<double>"), lambda x, y: F.abs(x - y) < FOLD_IN_AGREES), lambda x: x)
+    return both.select(F.col("id").alias("uid"), "n", F.coalesce(same, F.lit(False)).alias("agrees"))
+
+
 @query("svd_predictions")
 def svd_predictions(t: Tables):
     """M2 + M3: biases and factors fitted jointly by stochastic gradient (100 factors, 20 epochs), a row for every test row."""
@@ -437,10 +449,19 @@ def nmf_factor_rows(t: Tables):
 
 
 FOLDS = 3
+FOLD_IN_AGREES = 1e-4
 ALS_GRID = [(r, reg) for r in (10, 50, 100) for reg in (0.01, 0.05, 0.1)]
 RESIDUAL_GRID = [(n, reg) for n in (10, 20) for reg in (0.4, 0.5, 0.6)]
 
 
+@query("als_grid_points", sql(" UNION ALL ".join(f"SELECT {r} AS rank, CAST({x} AS DOUBLE) AS reg, true AS in_range, true AS one_best" for r, x in ALS_GRID)))
+def als_grid_points(t: Tables):
+    """A row per grid point, errors within the width of the scale, one test error of the one best point."""
+    rows = materialize(als_grid_search(t), "als-grid")
+    best = rows.select(F.min("best_test_rmse") == F.max("best_test_rmse")).scalar()
+    return rows.select("rank", "reg", F.col("cv_rmse").between(0.0, 4.0).alias("in_range"), best.alias("one_best"))
+
+
 @query("als_grid_search")
 def als_grid_search(t: Tables):
     """3 x 3 grid over rank and regParam with 3-fold CrossValidator on the library's own folds; mean RMSE per grid point."""

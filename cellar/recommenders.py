@@ -10,11 +10,12 @@ correlated with the new profile. Every method returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellar.functions.exprs import clamp, rnd
-from cellar.operators import evaluate, factor, neighbours, similarity, text
+from cellar.operators import evaluate, factor, fold_in, inner_product, neighbours, similarity, text
 from cellar.session import materialize
 
 
@@ -81,6 +82,25 @@ class CollabRecommender:
         known.model = self.model
         return uid, known
 
+    def fold_in(self, profiles: DataFrame) -> DataFrame:
+        """(id, n, features) for any number of new users, whose (uid, item_id, score) rows are ``profiles``, in a fitted ALS model."""
+        if not isinstance(self.model, ALSModel):
+            raise ValueError("new users can be folded into a fitted ALS model only")
+        reg, nonnegative = (self.estimator.getOrDefault(x) for x in ("regParam", "nonnegative"))
+        return fold_in.fold_in(self.model.itemFactors, profiles, reg, nonnegative)
+
+    def recommend_new_users(self, profiles: DataFrame, n: int = 5) -> DataFrame:
+        """(uid, item_id, est, rank): each new user's n best items outside its profile, from its folded factors.
+
+        The search keeps n items and as many more as the longest profile has, since a user's own items may lead its list.
+        """
+        users = materialize(self.fold_in(profiles), "folded-users")
+        longest = users.select(F.max("n")).first()[0] or 0
+        lists = inner_product.search(users.select("id", "features"), self.model.itemFactors, n + longest)[0]
+        others = lists.join(profiles.select("uid", "item_id").distinct(), ["uid", "item_id"], "left_anti")
+        order = Window.partitionBy("uid").orderBy("rank")
+        return others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
     def recommend_for(self, uid: int, candidates: DataFrame | str = "unseen", n: int = 5, neighbours_n: int = 5, min_overlap: int = 3) -> DataFrame:
         """M21 + M22: pool the top lists of the users most correlated with ``uid``, without the items ``uid`` has rated.
 

@@ -27,3 +27,17 @@ def test_many_rows_are_copied_seldom():
     nu, ni = products.blocks(900_000, 1_200_000, 2048, 12)
     assert nu <= 14 and ni <= 20 and nu * ni >= 12
     assert products.blocks(23, 31, 5, 8) == (5, 7)
+
+
+def test_shuffles_of_large_fits_are_kept_for_few_iterations(spark, monkeypatch):
+    from cellar.operators import factor
+
+    frame = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(9)], "uid long, item_id long, score double")
+    kept, als = [], factor.als
+    monkeypatch.setattr(factor, "als", lambda **params: kept.append(params["checkpoint"]) or als(**params))
+    got = []
+    for size in (1 << 30, 0):
+        monkeypatch.setattr(factor, "KEPT_BYTES", size)
+        base, model = factor.fit_biased_mf(frame, rank=3, max_iter=5)
+        got.append(sorted(map(tuple, factor.predict_biased_mf(base, model, frame).collect())))
+    assert kept == [10, 2] and got[0] == got[1]

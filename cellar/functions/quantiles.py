@@ -28,16 +28,17 @@ def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> Data
     return materialize(base.groupBy(*(by or []), "_v").agg(F.count(F.lit(1)).alias("_c")), "value-counts")
 
 
-def count_mean(decimals: int | None = None) -> tuple[Column, Column]:
-    """Aggregates over value counts: number of values, and mean rounded to 6 digits.
+def count_mean(decimals: int | None = None, value: str = "_v", count: str | None = "_c") -> tuple[Column, Column]:
+    """Aggregates over value counts (without ``count``: over values): number of values, and mean rounded to 6 digits.
 
     With ``decimals`` the sum is taken over exact decimals, so the mean does not
     depend on summation order (see ``exprs.mean``).
     """
-    n = F.sum("_c")
+    v, c = F.col(value), F.col(count) if count else F.lit(1).cast("long")
+    n = F.sum(c) if count else F.nullif(F.count(v), F.lit(0).cast("long"))
     if decimals is None:
-        return n, rnd(F.sum(F.col("_v") * F.col("_c")) / n)
-    exact = F.sum(F.col("_v").cast(f"decimal(18,{decimals})") * F.col("_c").cast("decimal(18,0)"))
+        return n, rnd(F.sum(v * c) / n)
+    exact = F.sum(v.cast(f"decimal(18,{decimals})") * c.cast("decimal(18,0)"))
     return n, F.round(exact.cast(f"decimal(38,{decimals + 8})") / n.cast("decimal(20,0)"), ROUND).cast("double")
 
 

@@ -6,10 +6,10 @@ its input through ``nan_as_null`` first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import mean, nan_as_null, rnd
+from cellar.functions.exprs import mean, nan_as_null, rnd, small_side
 from cellar.functions.quantiles import count_mean, moments, quantiles_of_counts, value_counts
 from cellar.session import materialize
 
@@ -122,15 +122,36 @@ def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     )
 
 
+HEAVY_KEY = 100_000  # rows of a key that are not gathered in one group
+
+
 def avg_median(df: DataFrame, key: str, cols: list[str], decimals: int | None = None) -> DataFrame:
-    """Average and exact median per key of several sub-scores; empty -> NULL.
+    """Average and exact median per key of several sub-scores; empty -> NULL. Rows without a key are left out.
 
-    One scan: the sub-scores are unpivoted and reduced to value counts (a job)
-    that averages and medians both come from.
+    A key's rows are shuffled once, whole, and its sub-scores sorted as arrays. Keys
+    with more than ``HEAVY_KEY`` rows go by value counts instead. Runs a job that looks for those.
     """
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double") + 0.0)  # noqa: E731  (no -0.0)
+    wide = df.where(F.col(key).isNotNull()).select(key, *[value(c).alias(c) for c in cols])
+    heavy = wide.groupBy(key).count().where(F.col("count") > HEAVY_KEY).select(key)
+    n_heavy = heavy.count()
+    light = wide.join(small_side(heavy, n_heavy), key, "left_anti") if n_heavy else wide
+    rows = light.repartition(key).groupBy(key).agg(*[count_mean(decimals, c, None)[1].alias(f"{c}_avg") for c in cols], *[F.sort_array(F.collect_list(c)).alias(f"_{c}_all") for c in cols])
+    out = rows.select(key, *[f"{c}_avg" for c in cols], *[rnd(_middle(F.col(f"_{c}_all"))).alias(f"{c}_med") for c in cols])
+    return out.unionByName(_avg_median_of_counts(wide.join(small_side(heavy, n_heavy), key, "left_semi"), key, cols, decimals)) if n_heavy else out
+
+
+def _middle(a: Column) -> Column:
+    """The median of a sorted array, NULL if it is empty."""
+    h = (F.size(a) - 1) * F.lit(0.5)
+    lo, hi = (F.get(a, x.cast("int")) for x in (F.floor(h), F.ceil(h)))
+    return F.when(F.size(a) > 0, lo + (h - F.floor(h)) * (hi - lo))
+
+
+def _avg_median_of_counts(df: DataFrame, key: str, cols: list[str], decimals: int | None) -> DataFrame:
+    """One scan: the sub-scores are unpivoted and reduced to value counts (a job) that averages and medians both come from."""
     # a constant beside the sub-scores keeps the keys whose sub-scores are all missing
-    wide = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols], F.lit(0.0).alias("_key"))
-    long = wide.unpivot(key, [*cols, "_key"], "_col", "_val")
+    long = df.withColumn("_key", F.lit(0.0)).unpivot(key, [*cols, "_key"], "_col", "_val")
     counts = value_counts(long, "_val", [key, "_col"])
     avg = counts.groupBy(key, "_col").agg(count_mean(decimals)[1].alias("_avg"))
     med = quantiles_of_counts(counts, [0.5], [key, "_col"], ["_med"])

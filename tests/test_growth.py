@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from cellar.operators import stats
+from cellar.operators import inner_product, lsh, products, similarity, stats
 
 
 @pytest.mark.parametrize("heavy", [stats.HEAVY_KEY, 6])
@@ -25,3 +25,32 @@ def test_averages_and_medians_of_light_and_heavy_keys(spark, monkeypatch, heavy)
                 v = [d[at] for d in data if d[0] == k and d[at] is not None and d[at] == d[at]]
                 want = (np.mean(v), np.median(v)) if v else (None, None)
                 assert (row[f"{c}_avg"], row[f"{c}_med"]) == (pytest.approx(want[0], abs=1e-6), want[1])
+
+
+def test_products_under_bounds_and_floors_are_those_of_all_items():
+    r = np.random.default_rng(7)
+    u, v = np.abs(r.normal(size=(90, 6))), np.abs(r.normal(size=(1500, 6))) * r.pareto(2, 1500)[:, None]
+    v[700] = v[3]
+    v = v[np.argsort(-np.linalg.norm(v, axis=1), kind="stable")]
+    ids = r.permutation(1500)
+    s = np.round(u @ v.T, 6)
+    want = [np.lexsort((ids, -s[q]))[:8].tolist() for q in range(90)]
+    floor = np.sort(s[:, :64], axis=1)[:, -8]
+    for given in (None, floor):
+        row, col, _ = products.best(u, v, 8, ids=ids, floor=given, bounds=products.Bounds(v, 64))
+        assert [col[row == q].tolist() for q in range(90)] == want
+
+
+def test_a_user_is_shuffled_once_for_a_run_of_blocks(spark, monkeypatch):
+    """Blocks that no bound leaves out: a user met every one of them in a row of its own before."""
+    r = np.random.default_rng(9)
+    frame = lambda x: spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, features array<double>")
+    u, v = r.normal(size=(40, 4)), r.normal(size=(2000, 4))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    met, written = [], inner_product.materialize
+    monkeypatch.setattr(inner_product, "materialize", lambda df, name: met.append((name, written(df, name))) or met[-1][1])
+    got = inner_product.search(frame(u), frame(v), 5, block_size=16)[0].collect()
+    begun = dict(met)["mips-first"]
+    assert begun.selectExpr("max(size(runs))").first()[0] <= products.blocks(40, 2000, 2048, 8)[1]
+    s = np.round(u @ v.T, 6)
+    assert {(x["uid"], x["rank"], x["item_id"]) for x in got} == {(q, p + 1, int(i)) for q in range(40) for p, i in enumerate(np.lexsort((np.arange(2000), -s[q]))[:5])}

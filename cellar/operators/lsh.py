@@ -6,7 +6,9 @@ holds more than ``cell_rows`` vectors is split by the next bit, and where bits
 do not help any more, into chunks by hash. A vector looks for neighbours in its
 own cell and in every cell that it could reach by flipping signs whose squared
 projections sum up to no more than ``radius``: signs close to a hyperplane flip
-first. What a vector meets there is compared exactly.
+first. What a vector meets there is compared exactly. Vectors travel in pairs of
+large blocks, not once for every cell; a group walks through the cells of its
+pair and gives no more than k rows per vector.
 
 The radius is not guessed: the exact neighbours of ``sample`` vectors are found
 in one pass, and the radius is the smallest one that reaches the wanted share
@@ -26,17 +28,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.functions.exprs import rnd
+from cellar.operators import products
 from cellar.operators.similarity import top_k
+from cellar.operators.stats import slots
 from cellar.session import materialize
 
 MAX_BITS = 14  # so at most 2 ** 14 cells a table
-MAX_QUERIES = 2048  # of a group
-PIECE = 256  # vectors that are dealt to cells at a time: each becomes many rows
+MAX_QUERIES = 2048  # of a group, before its block is made larger
+PIECE = 256  # vectors whose cells are looked up at a time
+LOOKERS = 8192  # whose lists a task holds at a time
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -129,58 +135,67 @@ def _radius(reps: DataFrame, cells: Cells, vec: str, id: str, k: int, recall: fl
     return float(costs[min(len(costs) - 1, math.ceil(recall * len(costs)))]) + 1e-9 if len(costs) else 0.0
 
 
-def _dealt(reps: DataFrame, cells: Cells, vec: str, id: str, chunks: dict[tuple[int, int], tuple[int, int]] | None) -> DataFrame:
-    """A row per vector, table and cell: as a resident (side 1) or as one that looks (side 0). ``chunks`` deals both sides of a
-    cell to (residents', lookers') chunks; without it only cells and sides come out, to be counted."""
-    id_type = reps.schema[id].dataType
-    fields = [T.StructField(c, T.IntegerType()) for c in ("t", "cell", "side", "rc", "qc")] + ([T.StructField("id", id_type), reps.schema[vec]] if chunks is not None else [])
+def _met(reps: DataFrame, cells: Cells, vec: str) -> int:
+    """Pairs of one that looks into a cell and one that lives there, over all tables and cells."""
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in (whole.iloc[i : i + PIECE] for whole in batches for i in range(0, len(whole), PIECE)):
             x = _unit(b[vec])
-            salt = pd.util.hash_array(b[id].to_numpy()).astype(np.uint64)
             for t in range(len(cells.planes)):
                 cost = cells.reach(x, t)
-                who, cell = np.nonzero(cost <= cells.radius)
-                own = (cost <= 0).argmax(axis=1)
-                rows = [pd.DataFrame({"t": t, "cell": c, "side": side, "who": w}) for side, w, c in ((0, who, cell), (1, np.arange(len(b)), own))]
-                if chunks is None:
-                    yield pd.concat([r.assign(rc=0, qc=0)[["t", "cell", "side", "rc", "qc"]] for r in rows])
+                lives = np.bincount((cost <= 0).argmax(axis=1), minlength=cost.shape[1])
+                yield pd.DataFrame({"t": t, "cell": np.arange(cost.shape[1]), "look": (cost <= cells.radius).sum(axis=0), "live": lives})
+
+    sums = reps.select(vec).mapInPandas(count, "t int, cell int, look long, live long").groupBy("t", "cell").agg(F.sum("look").alias("look"), F.sum("live").alias("live"))
+    return int(sums.agg(F.sum(F.col("look").cast("decimal(38,0)") * F.col("live"))).first()[0] or 0)
+
+
+def _nearest(x: np.ndarray, y: np.ndarray, own: np.ndarray, ids: np.ndarray, cells: Cells, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, item, product): of the items in the cells that a query reaches, its k best ones; equal rounded products by position."""
+    lives = []
+    for t in range(len(cells.planes)):
+        home = np.concatenate([cells.own(y[i : i + PIECE], t) for i in range(0, len(y), PIECE)])
+        order = np.argsort(home, kind="stable")
+        lives.append((order, np.searchsorted(home[order], np.arange(len(cells.bits[t]) + 1))))
+    out = []
+    for lo in range(0, len(x), LOOKERS):
+        q = x[lo : lo + LOOKERS]
+        unit, est, col = np.full((len(q), k), -np.inf), np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+        for t, (order, edge) in enumerate(lives):
+            looks = np.concatenate([cells.reach(q[i : i + PIECE], t) <= cells.radius for i in range(0, len(q), PIECE)])
+            for c in np.flatnonzero(np.diff(edge)).tolist():
+                who, items = np.flatnonzero(looks[:, c]), order[edge[c] : edge[c + 1]]
+                if not len(who):
                     continue
-                for side, rows_ in enumerate(rows):
-                    size = np.array([chunks[t, c] for c in rows_["cell"]]).reshape(-1, 2)
-                    mine, copies = (size[:, 1], size[:, 0]) if side == 0 else (size[:, 0], size[:, 1])
-                    own_chunk = (salt[rows_["who"]] % mine.astype(np.uint64)).astype(int)
-                    at = np.repeat(np.arange(len(rows_)), copies)
-                    other = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
-                    out = rows_.iloc[at].assign(**({"rc": other, "qc": own_chunk[at]} if side == 0 else {"rc": own_chunk[at], "qc": other}))
-                    who_ = out.pop("who").to_numpy()
-                    yield out[["t", "cell", "side", "rc", "qc"]].assign(id=b[id].to_numpy()[who_], **{vec: b[vec].to_numpy()[who_]})
-
-    return reps.select(id, vec).mapInPandas(deal, T.StructType(fields))
-
-
-def _compared(vec: str, k: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, r = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if not len(q) or not len(r):
-            return pd.DataFrame({"a": [], "b": [], "sim": []})
-        a, b = q["id"].to_numpy(), r["id"].to_numpy()
-        s = _unit(q[vec]) @ _unit(r[vec]).T
-        s[a[:, None] == b[None, :]] = -np.inf
-        n = min(k, s.shape[1])
-        least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n]
-        i, j = np.nonzero((s >= (least - 1e-6)[:, None]) & (s > -2))
-        return pd.DataFrame({"a": a[i], "b": b[j], "sim": s[i, j]})
-
-    return fn
+                i, j, s = products.best(q[who], y[items], k, own[lo + who], ids[items], floor=est[who, -1])
+                if len(i):
+                    _enter(unit, est, col, who[i], items[j], s)
+        i, place = np.nonzero(col >= 0)
+        out.append((i + lo, col[i, place], est[i, place]))
+    return tuple(np.concatenate(p) for p in zip(*out))
+
+
+def _enter(unit: np.ndarray, est: np.ndarray, col: np.ndarray, i: np.ndarray, j: np.ndarray, s: np.ndarray) -> None:
+    """Candidates, ordered by their list ``i``, join the lists in place: the best first, no item twice."""
+    k = unit.shape[1]
+    rows, first = np.unique(i, return_index=True)
+    at = np.repeat(np.arange(len(rows)), np.diff(np.append(first, len(i))))
+    place = np.arange(len(i)) - first[at]
+    new_s, new_j = np.full((len(rows), k), -np.inf), np.full((len(rows), k), -1)
+    new_s[at, place], new_j[at, place] = s, j
+    new_s[(new_j[:, :, None] == col[rows][:, None, :]).any(axis=2)] = -np.inf  # met in another table
+    new_j[np.isneginf(new_s)] = -1
+    both_s, both_j = np.hstack((est[rows], new_s)), np.hstack((col[rows], new_j))
+    both_u = np.where(both_j >= 0, products.rounded(np.where(both_j >= 0, both_s, 0.0)), -np.inf)
+    order = np.lexsort((both_j, -both_u), axis=1)[:, :k]
+    unit[rows], est[rows], col[rows] = (np.take_along_axis(m, order, 1) for m in (both_u, both_s, both_j))
 
 
 def cosine_topk_lsh(vectors: DataFrame, entity: str, vec: str, k: int = 10, tables: int = 4, recall: float = 0.96, sample: int = 400, cell_rows: int | None = None) -> DataFrame:
     """J9 + T3, approximate: (entity, sim_entity, sim, rank), as ``similarity.cosine_topk_dense`` gives it, with about ``recall`` of its rows or more.
 
     Every row that comes out has its exact similarity. Runs jobs: distinct
-    vectors, the passes of ``fit_cells`` and one that counts cells.
+    vectors, the passes of ``fit_cells`` and one that counts products.
     """
     return search(vectors, entity, vec, k, tables, recall, sample, cell_rows)[0]
 
@@ -197,15 +212,23 @@ def search(vectors: DataFrame, entity: str, vec: str, k: int = 10, tables: int =
     if not cells.planes:
         none = some.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("sim"), F.lit(0).cast("long").alias("rank"))
         return none.limit(0).select(*names), cells
-    sizes: dict[tuple[int, int], list[int]] = {}
-    for r in _dealt(reps, cells, vec, "id", None).groupBy("t", "cell", "side").count().collect():  # two rows a cell
-        sizes.setdefault((r["t"], r["cell"]), [0, 0])[r["side"]] = r["count"]
-    cells.pairs = sum(a * b for a, b in sizes.values())
-    chunks = {c: (max(1, math.ceil(b / MAX_QUERIES)), max(1, math.ceil(a / MAX_QUERIES))) for c, (a, b) in sizes.items()}
+    cells.pairs = _met(reps, cells, vec)
     id_type = reps.schema["id"].dataType
     schema = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type), T.StructField("sim", T.DoubleType())])
-    met = _dealt(reps, cells, vec, "id", chunks).groupBy("t", "cell", "rc", "qc").applyInPandas(_compared(vec, k), schema)
-    near = top_k(met.select("a", "b", rnd("sim").alias("sim")).distinct(), "sim", k)
+    lookers, residents = products.blocks(cells.vectors, cells.vectors, MAX_QUERIES, slots(reps.sparkSession))
+
+    def compared(t: pa.Table) -> pa.Table:
+        side = t.column("side").to_numpy()
+        q, r = t.filter(pa.array(side == 0)), t.filter(pa.array(side == 1)).sort_by("id")
+        if not len(q) or not len(r):
+            return pa.table({"a": q.column("id").slice(0, 0), "b": r.column("id").slice(0, 0), "sim": pa.array([], pa.float64())})
+        x, y = (m / np.linalg.norm(m, axis=1)[:, None] for m in (products.matrix(p.column(vec)) for p in (q, r)))
+        i, j, sim = _nearest(x, y, q.column("id").to_numpy(), r.column("id").to_numpy(), cells, k)
+        return pa.table({"a": q.column("id").take(pa.array(i)), "b": r.column("id").take(pa.array(j)), "sim": pa.array(sim)})
+
+    rows = products.pairs_of_blocks(reps.select("id", vec), 0, lookers, residents).unionByName(products.pairs_of_blocks(reps.select("id", vec), 1, residents, lookers))
+    met = rows.withColumnRenamed("_side", "side").groupBy("_bu", "_bi").applyInArrow(compared, schema)
+    near = top_k(met.select("a", "b", rnd("sim").alias("sim")), "sim", k)
     # every id of a and of b, and the copies of a itself
     groups = reps.select(F.col("id").alias("b"), F.col("ids"))
     others = near.join(groups, "b").select("a", F.explode("ids").alias("b"), "sim")

@@ -54,3 +54,18 @@ def test_a_user_is_shuffled_once_for_a_run_of_blocks(spark, monkeypatch):
     assert begun.selectExpr("max(size(runs))").first()[0] <= products.blocks(40, 2000, 2048, 8)[1]
     s = np.round(u @ v.T, 6)
     assert {(x["uid"], x["rank"], x["item_id"]) for x in got} == {(q, p + 1, int(i)) for q in range(40) for p, i in enumerate(np.lexsort((np.arange(2000), -s[q]))[:5])}
+
+
+def test_vectors_travel_by_pairs_of_blocks_not_by_cell(spark, monkeypatch):
+    """64 cells in 3 tables, all within reach: a vector was copied to each of them, on both sides."""
+    r = np.random.default_rng(1)
+    x = r.normal(size=(300, 8))
+    x[40:60] = x[40]
+    df = spark.createDataFrame([(i, [float(f) for f in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    copies, pairs = [], products.pairs_of_blocks
+    monkeypatch.setattr(products, "pairs_of_blocks", lambda *a: copies.append(pairs(*a)) or copies[-1])
+    got = lsh.cosine_topk_lsh(df, "vec_id", "embedding", 4, tables=3, recall=1.0, sample=300, cell_rows=8).collect()
+    assert sum(c.count() for c in copies) <= 2 * 281  # distinct vectors
+    want = similarity.cosine_topk_dense(df, "vec_id", "embedding", 4).collect()
+    rows = lambda f: {(a["vec_id"], a["sim_vec_id"], a["rank"]) for a in f}
+    assert len(rows(got) & rows(want)) >= 0.99 * len(want)

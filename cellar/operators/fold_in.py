@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellar.functions.exprs import nan_to_null
+from cellar.functions.exprs import nan_to_null, small_side
 from cellar.session import materialize
 
 HEAVY = 100_000
-SOLVED = 128  # users solved at once
+SOLVED = 1 << 22  # values of the users' sums that are solved at once: many users, if their factors are few
 SWEEPS = 2_000
 
 
@@ -30,13 +30,21 @@ def _solve(a: np.ndarray, b: np.ndarray, n: np.ndarray, reg: float, nonnegative:
     a = a + (reg * n)[:, None, None] * np.eye(rank)
     if not nonnegative:
         return (np.linalg.pinv(a, hermitian=True) @ b[:, :, None])[:, :, 0] if reg == 0 else np.linalg.solve(a, b[:, :, None])[:, :, 0]
-    p, diagonal = np.zeros_like(b), np.maximum(np.einsum("ijj->ij", a), 1e-300)
-    for _ in range(SWEEPS):  # coordinate descent: every sweep lowers the convex loss
-        before = p.copy()
+    # coordinate descent: every sweep lowers the convex loss; users whose factors stand still leave the batch
+    p, left = np.zeros_like(b), np.arange(len(b))
+    rows, y, x = np.ascontiguousarray(a.transpose(1, 0, 2)), b, np.zeros_like(b)
+    diagonal = np.maximum(np.einsum("ijj->ij", a), 1e-300)
+    for _ in range(SWEEPS):
+        before = x.copy()
         for j in range(rank):
-            p[:, j] = np.maximum(0.0, p[:, j] - ((a[:, j] * p).sum(axis=1) - b[:, j]) / diagonal[:, j])
-        if np.abs(p - before).max(initial=0.0) <= 1e-9 * max(1.0, np.abs(p).max(initial=0.0)):
-            break
+            x[:, j] = np.maximum(0.0, x[:, j] - (np.einsum("ij,ij->i", rows[j], x) - y[:, j]) / diagonal[:, j])
+        stays = np.abs(x - before).max(axis=1, initial=0.0) > 1e-9 * np.maximum(1.0, np.abs(x).max(axis=1, initial=0.0))
+        if 5 * stays.sum() <= 4 * len(left):
+            p[left] = x
+            if not stays.any():
+                break
+            left, rows, y, x, diagonal = left[stays], rows[:, stays], y[stays], x[stays], diagonal[stays]
+    p[left] = x
     return p
 
 
@@ -76,7 +84,7 @@ def _sums(rank: int, reg: float, nonnegative: bool, ratings: bool):
                     done.append((key[0], key[2], held))
                     held = np.zeros(size)
                 key, held = here, held + of(b, lo, hi)
-                if len(done) >= SOLVED:
+                if len(done) * size >= SOLVED:
                     yield emit(done)
                     done = []
         if key is not None:
@@ -90,7 +98,7 @@ def fold_in(item_factors: DataFrame, profiles: DataFrame, reg: float, nonnegativ
 
     ``item_factors`` is (id, features), as a fitted model gives it; ``n`` counts the ratings used. Ratings without a
     score, a user or a known item are left out, repeated ones count as often as they stand there. Runs jobs: one
-    looks for the rank, one writes the result.
+    looks for the rank, one for heavy users, one writes the result.
     """
     first = item_factors.select(F.size("features")).first()
     if first is None:
@@ -98,8 +106,11 @@ def fold_in(item_factors: DataFrame, profiles: DataFrame, reg: float, nonnegativ
     rank = first[0]
     rows = profiles.select(F.col("uid").cast("long").alias("id"), F.col("item_id").cast("long").alias("_item"), nan_to_null(F.col("score").cast("double")).alias("score")).dropna()
     heavy = rows.groupBy("id").count().where(F.col("count") > HEAVY).select("id", F.ceil(F.col("count") / HEAVY).alias("_parts"))
-    rows = rows.join(heavy, "id", "left").withColumn("parts", F.coalesce("_parts", F.lit(1)).cast("long"))
-    items = item_factors.select(F.col("id").cast("long").alias("_item"), F.col("features").cast("array<double>").alias("features"))
+    n_heavy = heavy.count()  # at most ratings / HEAVY; without any, no rating is shuffled for them
+    rows = rows.join(small_side(heavy, n_heavy), "id", "left") if n_heavy else rows.withColumn("_parts", F.lit(None).cast("long"))
+    rows = rows.withColumn("parts", F.coalesce("_parts", F.lit(1)).cast("long"))
+    # factors of single precision travel as such; the sums are in double precision
+    items = item_factors.select(F.col("id").cast("long").alias("_item"), "features")
     rows = rows.join(items, "_item").select("id", F.pmod(F.xxhash64("_item"), F.col("parts")).alias("part"), "parts", "score", "features")
     kind = "id bigint, n bigint, features array<double>, sums array<double>"
     summed = rows.repartition("id", "part").sortWithinPartitions("id", "part").mapInArrow(_sums(rank, reg, nonnegative, True), kind)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from cellar.operators import inner_product, lsh, products, similarity, stats
+from cellar.operators import fold_in, inner_product, lsh, products, similarity, stats
 
 
 @pytest.mark.parametrize("heavy", [stats.HEAVY_KEY, 6])
@@ -69,3 +69,27 @@ def test_vectors_travel_by_pairs_of_blocks_not_by_cell(spark, monkeypatch):
     want = similarity.cosine_topk_dense(df, "vec_id", "embedding", 4).collect()
     rows = lambda f: {(a["vec_id"], a["sim_vec_id"], a["rank"]) for a in f}
     assert len(rows(got) & rows(want)) >= 0.99 * len(want)
+
+
+def test_ratings_are_not_shuffled_for_heavy_users_where_there_are_none(spark, monkeypatch):
+    factors = spark.createDataFrame([(i, [1.0 + i, 2.0]) for i in range(4)], "id int, features array<float>")
+    ratings = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(5) for i in range(4)], "uid long, item_id long, score double")
+    plans, written = [], fold_in.materialize
+    monkeypatch.setattr(fold_in, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, name))
+    got = {r["id"]: r["features"] for r in fold_in.fold_in(factors, ratings, 0.1).collect()}
+    monkeypatch.setattr(fold_in, "HEAVY", 2)  # now every user is heavy, and summed in parts
+    parts = {r["id"]: r["features"] for r in fold_in.fold_in(factors, ratings, 0.1).collect()}
+    assert [p.count("Join ") for p in plans] == [1, 2]
+    assert got.keys() == parts.keys() and all(np.allclose(got[u], parts[u]) for u in got)
+
+
+def test_nonnegative_solutions_do_not_depend_on_who_is_solved_beside():
+    """A slow user kept the whole batch in its sweeps, and moved the others' last digits."""
+    r = np.random.default_rng(5)
+    q = np.abs(r.normal(size=(40, 12, 6))) + np.where(np.arange(40) % 8 == 0, 3.0, 0.0)[:, None, None]  # some are slow
+    a, b, n = np.einsum("nij,nik->njk", q, q), np.einsum("nij,ni->nj", q, r.integers(1, 6, (40, 12))), np.full(40, 12.0)
+    all_ = fold_in._solve(a, b, n, 0.01, True)
+    one = np.concatenate([fold_in._solve(a[i : i + 1], b[i : i + 1], n[i : i + 1], 0.01, True) for i in range(40)])
+    assert np.abs(all_ - one).max() < 1e-6
+    grad = np.einsum("njk,nk->nj", a + 0.12 * np.eye(6), all_) - b
+    assert (all_ >= 0).all() and grad.min() > -1e-4 and np.abs(grad * all_).max() < 1e-3

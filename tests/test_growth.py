@@ -93,3 +93,21 @@ def test_nonnegative_solutions_do_not_depend_on_who_is_solved_beside():
     assert np.abs(all_ - one).max() < 1e-6
     grad = np.einsum("njk,nk->nj", a + 0.12 * np.eye(6), all_) - b
     assert (all_ >= 0).all() and grad.min() > -1e-4 and np.abs(grad * all_).max() < 1e-3
+
+
+@pytest.mark.parametrize("block_size", (10, 1000))
+def test_text_neighbours_leave_the_matrix_trimmed(spark, monkeypatch, block_size):
+    """Every pair shares a term: all products of a group became rows before they were trimmed."""
+    r = np.random.default_rng(11)
+    x = np.where(r.random((70, 12)) < 0.4, r.random((70, 12)), 0.0)
+    x[:, 0] = 0.2
+    x[20:26] = x[20]  # equal items
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    left = similarity.pd.DataFrame([(i, f"t{d}", x[i, d]) for i, d in zip(*np.nonzero(x))], columns=["e", "d", "v"])
+    assert len(similarity._dense_dot(left, left, "e", "d", "v", True, 3)) <= 70 * 3 + 6 * 6
+    df = spark.createDataFrame(left, "e long, d string, v double")
+    got = {(p["e"], p["rank"]): (p["sim_e"], p["sim"]) for p in similarity.cosine_topk_long(df, "e", "d", "v", 3, block_size).collect()}
+    s = np.round(x @ x.T, 6)
+    np.fill_diagonal(s, -1)
+    want = {(e, p + 1): (int(j), s[e, j]) for e in range(70) for p, j in enumerate(np.lexsort((np.arange(70), -s[e]))[:3])}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17  # a power of two
 
 _P = (1 << 31) - 1
 #: points of the polynomials, drawn once: for bytes, for words, and for a second hash of words
@@ -72,7 +72,8 @@ def _polynomials(values: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends
 
 
 def _room(n: int) -> int:
-    return max(SLICE_BYTES + 1, 1 << n.bit_length())
+    """A power of two above ``n``: the same for nearly all slices, so few tables of powers are held."""
+    return max(SLICE_BYTES, 1 << n.bit_length())
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -94,11 +94,15 @@ def score_all_top(model: Baseline, users: DataFrame, n: int = 10, lo: float = 1.
 # ---- ALS family --------------------------------------------------------------
 
 
-def als(rank: int = 10, reg: float = 0.1, nonnegative: bool = True, max_iter: int = 10, seed: int = 42, cold: str = "drop", checkpoint: int = 10) -> ALS:
+def als(rank: int = 10, reg: float = 0.1, nonnegative: bool = True, max_iter: int = 10, seed: int = 42, cold: str = "drop", checkpoint: int | None = None) -> ALS:
     """M7: explicit ALS on (uid, item_id, score); ``cold`` "drop" leaves out rows of unseen users or items, "nan" keeps them.
 
-    Every ``checkpoint`` iterations the item factors are written and the shuffles before them deleted.
+    Every ``checkpoint`` iterations, beginning with the first, the item factors are written and the shuffles before
+    them deleted; to write them Spark solves for them again. If not given it is 10, and up to 10 iterations none:
+    that of the first alone would cut off next to nothing.
     """
+    if checkpoint is None:
+        checkpoint = 10 if max_iter > 10 else -1
     return ALS(
         userCol="uid",
         itemCol="item_id",

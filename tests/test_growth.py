@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from cellar.operators import fold_in, inner_product, lsh, products, similarity, stats
+from cellar.operators import factor, fold_in, inner_product, lsh, products, similarity, stats
 
 
 @pytest.mark.parametrize("heavy", [stats.HEAVY_KEY, 6])
@@ -111,3 +111,12 @@ def test_text_neighbours_leave_the_matrix_trimmed(spark, monkeypatch, block_size
     np.fill_diagonal(s, -1)
     want = {(e, p + 1): (int(j), s[e, j]) for e in range(70) for p, j in enumerate(np.lexsort((np.arange(70), -s[e]))[:3])}
     assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_a_short_fit_solves_no_item_again_for_a_checkpoint(spark):
+    """The items of the first iteration were solved twice, to write them; the factors are the same without."""
+    assert [factor.als(max_iter=n).getCheckpointInterval() for n in (0, 10, 11)] == [-1, -1, 10]
+    assert factor.als(checkpoint=2).getCheckpointInterval() == 2
+    ratings = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(12) for i in range(9) if (u + i) % 3], "uid long, item_id long, score double")
+    a, b = ({r["id"]: r["features"] for r in factor.als(checkpoint=c).fit(ratings).itemFactors.collect()} for c in (None, 10))
+    assert a.keys() == b.keys() == set(range(9)) and all(np.allclose(a[k], b[k], atol=1e-5) for k in a)

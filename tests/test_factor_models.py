@@ -121,3 +121,37 @@ def test_recommendations_of_the_joint_model_are_its_predictions(spark):
     best, _ = sgd.recommend_all(model, 3, block_size=32)
     est = {(r["uid"], r["item_id"]): r["est"] for r in sgd.predict(model, best.select("uid", "item_id", best["est"].alias("score"))).collect()}
     assert all(abs(est[r["uid"], r["item_id"]] - r["est"]) < 2e-6 for r in best.collect())
+
+
+@pytest.mark.parametrize("fit", (sgd.fit_svd, sgd.fit_nmf))
+def test_fits_keep_one_state_and_no_shuffle_of_it(spark, fit, monkeypatch):
+    """Every epoch's state stayed on disk, and the steps between two states shuffled all factors."""
+    from cellar.session import scratch_path
+
+    monkeypatch.setattr(sgd, "ROW", 64)  # several rows a block
+    folders, plans, path = [], [], sgd.scratch_path
+    monkeypatch.setattr(sgd, "scratch_path", lambda s, name: folders.append((name, path(s, name))) or folders[-1][1])
+    stored = sgd._stored
+    monkeypatch.setattr(sgd, "_stored", lambda df, *a: plans.append((a[0], df._jdf.queryExecution().executedPlan().toString())) or stored(df, *a))
+    frame = spark.createDataFrame(ratings(4), SCHEMA)
+    model = fit(frame, rank=3, epochs=3, blocks=3)
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = lambda p: [f.getPath().getName() for f in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{p}/at=*")) or []]
+    states = [x for name, p in folders if name == "factor-state" for x in left(p)]
+    assert sorted(states) == [f"at={side}-{block}" for side in (0, 1) for block in range(3)]
+    assert not [x for name, p in folders if name == "factor-ratings" for x in left(p)]
+    steps = [p for name, p in plans if name == "factor-state"][1:]
+    assert len(steps) >= 6 and not any("Exchange" in p or "Sort" in p for p in steps)
+    parted = {(r["uid"], r["item_id"]): r["est"] for r in sgd.predict(model, frame, -99, 99).collect()}
+    joined = {(r["uid"], r["item_id"]): r["est"] for r in sgd.predict(sgd.Factors(model.mu, model.state), frame, -99, 99).collect()}
+    assert len(parted) == 400 and all(abs(parted[k] - joined[k]) < 2e-6 for k in joined)
+
+
+def test_pairs_of_unseen_missing_and_repeated_ids_are_estimated_by_blocks(spark):
+    train = spark.createDataFrame(ratings(5), SCHEMA)
+    pairs = spark.createDataFrame([(0, 0, 1.0), (0, 0, 1.0), (0, 0, None), (0, 999, 2.0), (999, 0, 3.0), (None, 0, 4.0), (0, None, 5.0), (None, None, None), (999, 999, 1.0), (1, 1, 2.0)], SCHEMA)
+    for fit, known in ((sgd.fit_svd, False), (sgd.fit_nmf, True)):
+        model = fit(train, rank=3, epochs=2, blocks=3)
+        got, want = (sorted(map(tuple, sgd.predict(m, pairs, -99, 99, known).collect()), key=str) for m in (model, sgd.Factors(model.mu, model.state)))
+        assert [r[:3] for r in got] == [r[:3] for r in want] and all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, want))
+        assert sgd.predict(model, pairs.limit(0)).count() == 0
